@@ -50,3 +50,11 @@ def require(df: DataFrame, names: Sequence[str], what: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing or not names:
         raise ValueError(f"{what}: need columns {list(names)}, missing {missing}")
+
+
+def grouping_mark(keys: Sequence[str], chosen: Sequence[str]) -> int:
+    """The ``grouping_id`` of a grouping set: one bit per key, set where it is left out."""
+    mark = 0
+    for k in keys:
+        mark = mark * 2 + (0 if k in chosen else 1)
+    return mark

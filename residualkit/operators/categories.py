@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import text_or_nan
-from residualkit.operators.lookup import lookup_join
+from residualkit.operators.lookup import lookup_join, table_bytes
 from residualkit.operators.ordering import row_index
+from residualkit.operators.snapshots import union_by_name
 from residualkit.staging import stage
 
 
@@ -19,6 +21,7 @@ class RareCategories:
     """Per column: a staged list of rare values and the value that stands for them all."""
 
     tables: Mapping[str, DataFrame]
+    table_size: int
     replacements: Mapping[str, object]
 
     def apply(self, df: DataFrame, twins: Mapping[str, str] | None = None) -> DataFrame:
@@ -27,7 +30,7 @@ class RareCategories:
         for column, source in {**{c: c for c in self.replacements}, **(twins or {})}.items():
             rare = self.tables[source].withColumnRenamed(source, column).withColumn("_rare", F.lit(True))
             kind = dict(df.dtypes)[column]
-            joined = lookup_join(df, rare, [column])
+            joined = lookup_join(df, rare, [column], at_most=self.table_size)
             value = F.when(F.col("_rare"), F.lit(self.replacements[source]).cast(kind)).otherwise(F.col(column))
             df = joined.select(*[value.alias(c) if c == column else F.col(c) for c in df.columns])
         return df
@@ -46,19 +49,13 @@ def fit_rare(df: DataFrame, columns: Sequence[str], threshold: int = 100) -> Rar
         .filter(F.col("_rows") < threshold)
     )
     rare = stage(counted, "rare", partition_by="_set")
-    marks = _set_ids(columns)
+    marks = {c: grouping_mark(columns, [c]) for c in columns}
     lows = rare.agg(*[F.min(F.when(F.col("_set") == marks[c], F.col(c))).alias(c) for c in columns]).first()
     replacements = {c: lows[c] for c in columns if lows[c] is not None}
     tables = {
         c: rare.filter((F.col("_set") == marks[c]) & F.col(c).isNotNull()).select(c) for c in replacements
     }
-    return RareCategories(tables, replacements)
-
-
-def _set_ids(columns: Sequence[str]) -> dict[str, int]:
-    """``grouping_id`` of the grouping set that holds just this column."""
-    full = (1 << len(columns)) - 1
-    return {c: full & ~(1 << (len(columns) - 1 - i)) for i, c in enumerate(columns)}
+    return RareCategories(tables, table_bytes(rare), replacements)
 
 
 @dataclass(frozen=True)
@@ -66,6 +63,7 @@ class LabelCodes:
     """Per column: a staged table from text to its rank in sorted order."""
 
     tables: Mapping[str, DataFrame]
+    table_size: int
 
     def apply(self, df: DataFrame, unseen: str = "error") -> DataFrame:
         """Replace text by codes. A value that was not learned is an error at run
@@ -74,7 +72,7 @@ class LabelCodes:
             raise ValueError(f"unseen must be error or null, not {unseen}")
         for column, table in self.tables.items():
             keyed = df.withColumn("_text", text_or_nan(column))
-            joined = lookup_join(keyed, table, ["_text"])
+            joined = lookup_join(keyed, table, ["_text"], at_most=self.table_size)
             code = F.col("_code")
             if unseen == "error":
                 message = F.concat(F.lit(f"unseen value in {column}: "), F.col("_text"))
@@ -86,14 +84,20 @@ class LabelCodes:
 def fit_labels(frames: Sequence[DataFrame], columns: Sequence[str]) -> LabelCodes:
     """Learn sorted codes over the values of all frames together, missing as ``nan``.
 
-    Codes come from a range-partitioned index over the distinct values, so the
-    number of distinct values is not limited by one task.
+    All columns are read in one pass. Codes come from a range-partitioned index
+    over the distinct values, so their number is not limited by one task.
     """
-    tables = {}
-    for column in columns:
-        values = frames[0].select(text_or_nan(column).alias("_text"))
-        for frame in frames[1:]:
-            values = values.union(frame.select(text_or_nan(column).alias("_text")))
-        ranked = row_index(values.distinct(), ["_text"], "_code")
-        tables[column] = stage(ranked.select("_text", F.col("_code").cast("int").alias("_code")), "labels")
-    return LabelCodes(tables)
+    if not columns:
+        return LabelCodes({}, 0)
+    pairs = [F.struct(F.lit(c).alias("_column"), text_or_nan(c).alias("_text")) for c in columns]
+    values = union_by_name([frame.select(F.inline(F.array(*pairs))) for frame in frames]).distinct()
+    ranked = row_index(values, ["_column", "_text"], "_index")
+    firsts = dict(ranked.groupBy("_column").agg(F.min("_index")).collect())
+    tables = {
+        c: ranked.filter(F.col("_column") == c).select(
+            "_text", (F.col("_index") - firsts[c]).cast("int").alias("_code")
+        )
+        for c in columns
+        if c in firsts
+    }
+    return LabelCodes(tables, table_bytes(ranked))

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import difference_to, ratio_to
-from residualkit.operators.lookup import lookup_join
+from residualkit.operators.lookup import lookup_join, table_bytes
 from residualkit.staging import stage
 
 
@@ -21,6 +22,7 @@ class GroupStats:
     values: tuple[str, ...]
     within: tuple[str, ...]
     table: DataFrame
+    table_size: int
     set_ids: tuple[int, ...]
 
     def means(self, index: int) -> DataFrame:
@@ -37,7 +39,7 @@ class GroupStats:
             name = "_".join(key_set)
             keys = [*self.within, *key_set]
             means = self.means(index).withColumnsRenamed({v: f"{name}_{v}_mean" for v in self.values})
-            joined = lookup_join(df, means, keys)
+            joined = lookup_join(df, means, keys, at_most=self.table_size)
             added = []
             for v in self.values:
                 mean = F.col(f"{name}_{v}_mean")
@@ -75,13 +77,6 @@ def fit_group_stats(
         tuple(values),
         tuple(within),
         staged,
+        table_bytes(staged),
         tuple(grouping_mark(keys, [*within, *s]) for s in sets),
     )
-
-
-def grouping_mark(keys: Sequence[str], chosen: Sequence[str]) -> int:
-    """The ``grouping_id`` of a grouping set: one bit per key, set where it is left out."""
-    mark = 0
-    for k in keys:
-        mark = mark * 2 + (0 if k in chosen else 1)
-    return mark

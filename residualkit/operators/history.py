@@ -58,7 +58,8 @@ def last_sales(
         F.max_by(F.when(F.col(period) < h, sale), F.when(F.col(period) < h, place)).alias(f"_h{h}")
         for h in horizons
     ]
-    return sales.groupBy(key).agg(*known)
+    early = sales.filter(F.col(period) < max(horizons))
+    return early.groupBy(key).agg(*known)
 
 
 def _history_struct(horizon: int) -> list[Column]:

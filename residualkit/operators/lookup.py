@@ -47,9 +47,18 @@ def table_bytes(table: DataFrame) -> int:
     return int(row[0]) * fixed + sum(int(v or 0) for v in row[1:])
 
 
-def lookup_join(df: DataFrame, table: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left join to a staged table with one row per key; broadcast only if it is small."""
-    if table_bytes(table) <= broadcast_limit(df.sparkSession):
+def lookup_join(
+    df: DataFrame, table: DataFrame, on: Sequence[str], null_safe: bool = False, at_most: int | None = None
+) -> DataFrame:
+    """Left join to a staged table with one row per key; broadcast only if it is small.
+
+    ``at_most`` is a known bound on its bytes, such as the size of a staged table
+    that ``table`` is a part of. Without one that settles it, the table is measured.
+    """
+    limit = broadcast_limit(df.sparkSession)
+    if at_most is None or at_most > limit:
+        at_most = table_bytes(table)
+    if at_most <= limit:
         return left_join(df, F.broadcast(table), on, null_safe)
     return keyed_join(df, table, on, null_safe)
 

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import balanced_sum
-from residualkit.operators.group_stats import grouping_mark
-from residualkit.operators.lookup import lookup_join
+from residualkit.operators.lookup import lookup_join, table_bytes
 from residualkit.staging import stage
 
 
@@ -25,6 +25,7 @@ class TargetEncoding:
     keys: tuple[str, ...]
     name: str
     table: DataFrame
+    table_size: int
     global_mean: float | None
 
     @property
@@ -33,12 +34,12 @@ class TargetEncoding:
 
     def apply_train(self, df: DataFrame, fold: str) -> DataFrame:
         """Mean target of the category in the other folds; NULL if it is only in this one."""
-        joined = lookup_join(df, self.table.drop("_mean"), self.keys, null_safe=self.composite)
+        joined = lookup_join(df, self.table.drop("_mean"), self.keys, null_safe=self.composite, at_most=self.table_size)
         return joined.select(*df.columns, F.get(F.col("_others"), F.col(fold)).alias(self.name))
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Mean target of the category over all training rows, else the global mean."""
-        joined = lookup_join(df, self.table.drop("_others"), self.keys, null_safe=self.composite)
+        joined = lookup_join(df, self.table.drop("_others"), self.keys, null_safe=self.composite, at_most=self.table_size)
         fallback = F.lit(self.global_mean).cast("double")
         return joined.select(*df.columns, F.coalesce(F.col("_mean"), fallback).alias(self.name))
 
@@ -73,6 +74,7 @@ def fit_target_encodings(
         F.array(*[mean_of([j for j in everything if j != i]) for i in everything]).alias("_others"),
     )
     staged = stage(means, "encodings", partition_by="_set")
+    size = table_bytes(staged)
     overall = train.agg(F.avg(value)).first()[0]
 
     encodings = []
@@ -81,5 +83,5 @@ def fit_target_encodings(
         if len(s) == 1:
             rows = rows.filter(F.col(s[0]).isNotNull())
         name = "_".join([*s, target, "enc"])
-        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), overall))
+        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), size, overall))
     return encodings

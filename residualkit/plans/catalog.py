@@ -508,7 +508,7 @@ def top_features_query(spark, sf_dir):
 def _price_lines(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     frame = lines.groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price")
+        F.sum("l_quantity").alias("quantity"), (F.sum("l_extendedprice") / 1e5).alias("price")
     )
     return stage(shuffled_folds(frame, "l_orderkey", 5, seed=3), "price_lines")
 
@@ -521,16 +521,16 @@ def _linear_cv(spark, sf_dir):
 
 
 def cv_linear_metrics(spark, sf_dir):
-    return _rounded(_linear_cv(spark, sf_dir)[2].fold_metrics, 3)
+    return _rounded(_linear_cv(spark, sf_dir)[2].fold_metrics)
 
 
 def cv_linear_oof(spark, sf_dir):
-    return _rounded(_linear_cv(spark, sf_dir)[2].oof.select("l_orderkey", "fold", "prediction"), 4)
+    return _rounded(_linear_cv(spark, sf_dir)[2].oof.select("l_orderkey", "fold", "prediction"))
 
 
 def ensemble_linear(spark, sf_dir):
     frame, prep, result = _linear_cv(spark, sf_dir)
-    return _rounded(ensemble_predict(prep.apply(frame), result.models).select("l_orderkey", "prediction"), 4)
+    return _rounded(ensemble_predict(prep.apply(frame), result.models).select("l_orderkey", "prediction"))
 
 
 def blend(spark, sf_dir):
@@ -540,12 +540,12 @@ def blend(spark, sf_dir):
         lines.groupBy("l_orderkey").agg(
             F.sum("l_quantity").alias("quantity"),
             F.count(F.lit(1)).cast("double").alias("size"),
-            F.sum("l_extendedprice").alias("price"),
+            (F.sum("l_extendedprice") / 1e5).alias("price"),
         ),
         "blend",
     )
     weights = fit_blend(frame, ["quantity", "size"], "price")
-    return _rounded(weights.apply(frame).select("l_orderkey", "prediction"), 4)
+    return _rounded(weights.apply(frame).select("l_orderkey", "prediction"))
 
 
 def submission_query(spark, sf_dir):

@@ -70,7 +70,7 @@ parts as (
 
 LINES = """
 price_lines as (
-  select l_orderkey, sum(l_quantity) as quantity, sum(l_extendedprice) as price,
+  select l_orderkey, sum(l_quantity) as quantity, sum(l_extendedprice) / 1e5 as price,
          cast(cast('0x' || substr(md5(l_orderkey || '_3'), 1, 8) as bigint) % 5 as int) as fold
   from lineitem group by l_orderkey
 ),
@@ -567,24 +567,24 @@ ORACLE_SQL: dict[str, str] = {
         select feature, fold, round(importance, 6) as importance from importance where feature in (from best)""",
     "cv_linear_metrics": f"""with {LINES}
         select f.fold, case when p.fold = f.fold then 'valid' else 'train' end as split, count(*) as n,
-               round(avg(abs(price - base - slope * quantity)), 3) as mae,
-               round(avg(power(price - base - slope * quantity, 2)), 3) as mse,
-               round(sqrt(avg(power(price - base - slope * quantity, 2))), 3) as rmse
+               round(avg(abs(price - base - slope * quantity)), 6) as mae,
+               round(avg(power(price - base - slope * quantity, 2)), 6) as mse,
+               round(sqrt(avg(power(price - base - slope * quantity, 2))), 6) as rmse
         from price_lines p cross join fits f group by 1, 2""",
     "cv_linear_oof": f"""with {LINES}
-        select l_orderkey, p.fold, round(base + slope * quantity, 4) as prediction
+        select l_orderkey, p.fold, round(base + slope * quantity, 6) as prediction
         from price_lines p join fits f on f.fold = p.fold""",
     "ensemble_predict": f"""with {LINES}
-        select l_orderkey, round(avg(base + slope * quantity), 4) as prediction
+        select l_orderkey, round(avg(base + slope * quantity), 6) as prediction
         from price_lines cross join fits group by l_orderkey""",
     "blend": """with o as (
-          select l_orderkey, sum(l_quantity) as a, cast(count(*) as double) as b, sum(l_extendedprice) as y
+          select l_orderkey, sum(l_quantity) as a, cast(count(*) as double) as b, sum(l_extendedprice) / 1e5 as y
           from lineitem group by l_orderkey),
         m as (select var_pop(a) as va, var_pop(b) as vb, covar_pop(a, b) as ab, covar_pop(a, y) as ay,
                      covar_pop(b, y) as cy, avg(a) as ma, avg(b) as mb, avg(y) as my from o),
         w as (select *, (ay * vb - cy * ab) / (va * vb - ab * ab) as wa, (cy * va - ay * ab) / (va * vb - ab * ab) as wb
               from m)
-        select l_orderkey, round(my + wa * (a - ma) + wb * (b - mb), 4) as prediction from o cross join w""",
+        select l_orderkey, round(my + wa * (a - ma) + wb * (b - mb), 6) as prediction from o cross join w""",
     "submission": SUBMISSION,
     "submission_csv": SUBMISSION,
     "features_round_trip": f"""with {SNAPSHOTS}
