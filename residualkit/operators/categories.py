@@ -27,7 +27,10 @@ class RareCategories:
     def apply(self, df: DataFrame, twins: Mapping[str, str] | None = None) -> DataFrame:
         """Collapse the rare values. ``twins`` names further columns, each with the
         fitted column whose list it uses."""
-        for column, source in {**{c: c for c in self.replacements}, **(twins or {})}.items():
+        sources = {**{c: c for c in self.tables}, **(twins or {})}
+        for column, source in sources.items():
+            if source not in self.tables:
+                continue
             rare = self.tables[source].withColumnRenamed(source, column).withColumn("_rare", F.lit(True))
             kind = dict(df.dtypes)[column]
             joined = lookup_join(df, rare, [column], at_most=self.table_size)

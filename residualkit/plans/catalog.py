@@ -341,9 +341,9 @@ def group_stats_by_year(spark, sf_dir):
 
 def group_stats_for_sales(spark, sf_dir):
     """Statistics of the property list, joined to the sales."""
-    customer = table(spark, sf_dir, "customer")
-    stats = fit_group_stats(customer, [["c_nationkey"], ["c_nationkey", "c_mktsegment"]], ["c_acctbal"])
-    listed = customer.select(F.col("c_custkey").alias("parcel"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    customer = table(spark, sf_dir, "customer").withColumn("worth", F.sqrt(F.col("c_acctbal") + 1000))
+    stats = fit_group_stats(customer, [["c_nationkey"], ["c_nationkey", "c_mktsegment"]], ["worth"])
+    listed = customer.select(F.col("c_custkey").alias("parcel"), "c_nationkey", "c_mktsegment", "worth")
     tx = sales(spark, sf_dir).select("row_key", "parcel")
     return _rounded(stats.apply(attach_properties(tx, listed, ["parcel"])))
 
@@ -379,6 +379,15 @@ def target_encode_oof(spark, sf_dir):
     return _rounded(tx.select("row_key", "fold", *[e.name for e in encodings]))
 
 
+def target_encode_region(spark, sf_dir):
+    """Encodings on the coarser place: region and segment."""
+    region = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))
+    tx = attach_properties(stage(segmented_sales(spark, sf_dir), "segmented"), region, ["nation"])
+    tx = group_folds(tx, "row_key", 7, seed=5)
+    (encoding,) = fit_target_encodings(tx, [("region", "segment")], "observed", "fold", 7)
+    return _rounded(encoding.apply_train(tx, "fold").select("row_key", "fold", encoding.name))
+
+
 def target_encode_apply(spark, sf_dir):
     """The full means applied to the property list; unseen categories take the global mean."""
     _, encodings = _encodings(spark, sf_dir)
@@ -533,6 +542,25 @@ def ensemble_linear(spark, sf_dir):
     return _rounded(ensemble_predict(prep.apply(frame), result.models).select("l_orderkey", "prediction"))
 
 
+def training_recipe(spark, sf_dir):
+    """The training job with a linear model: later periods, clipped target, seeded folds."""
+    known = sale_history(sales(spark, sf_dir), "parcel", ORDER, target="observed")
+    rows = known.select("row_key", "parcel", "month_block", F.col("observed").alias("logerror"), "prev_logerror")
+    config = TrainConfig(n_splits=5, features=("prev_logerror",), model_type="linear", seed=11)
+    result = train(stage(rows, "rows"), config, estimator=LinearRegression(solver="normal"), row_id="row_key").result
+    return _rounded(result.oof.select("row_key", "fold", "logerror", "prediction"))
+
+
+def training_summary(spark, sf_dir):
+    """Loss of the same job with whole parcels in one fold, mean and spread over the folds."""
+    known = sale_history(sales(spark, sf_dir), "parcel", ORDER, target="observed")
+    rows = known.select("row_key", "parcel", "month_block", F.col("observed").alias("logerror"), "prev_logerror")
+    config = TrainConfig(n_splits=5, features=("prev_logerror",), model_type="linear", seed=11)
+    line = LinearRegression(solver="normal")
+    result = train(stage(rows, "rows"), config, estimator=line, row_id="row_key", groups="parcel").result
+    return _rounded(fold_summary(result.fold_metrics, "mae"))
+
+
 def blend(spark, sf_dir):
     """Two simple predictions of an order's price, blended by least squares."""
     lines = table(spark, sf_dir, "lineitem")
@@ -707,6 +735,7 @@ QUERIES: dict[str, Query] = {
     "shuffled_folds_exact": shuffled_exact,
     "group_folds": grouped,
     "target_encode_oof": target_encode_oof,
+    "target_encode_region": target_encode_region,
     "target_encode_apply": target_encode_apply,
     "sale_history": sale_history_query,
     "asof_history": asof_history_query,
@@ -727,6 +756,8 @@ QUERIES: dict[str, Query] = {
     "cv_linear_metrics": cv_linear_metrics,
     "cv_linear_oof": cv_linear_oof,
     "ensemble_predict": ensemble_linear,
+    "training_recipe": training_recipe,
+    "training_summary": training_summary,
     "blend": blend,
     "submission": submission_query,
     "submission_csv": submission_csv,

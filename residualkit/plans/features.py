@@ -138,12 +138,11 @@ def build_features(
     every join and every statistic is done once for both. Fold numbers and sale
     history are taken from the narrow sales table before anything wide is joined.
     """
-    properties = stage(clean_properties(snapshots, spec), "properties")
+    properties = clean_properties(snapshots, spec)
 
-    tx = narrow_sales(sales, spec)
     order = ["_date", spec.row_id]
-    tx = sale_history(tx, spec.score_key, order, "month_block", spec.target)
-    tx = stage(contiguous_folds(tx, spec.encoding_folds, order), "sales")
+    tx = contiguous_folds(narrow_sales(sales, spec), spec.encoding_folds, order)
+    tx = stage(sale_history(tx, spec.score_key, order, "month_block", spec.target), "sales")
 
     history = asof_history_wide(
         template,
@@ -182,7 +181,10 @@ def build_features(
 
 
 def clean_properties(snapshots: Mapping[int, DataFrame], spec: FeatureSpec) -> DataFrame:
-    """Aligned, repaired, collapsed, scaled and logged properties, one row per key and year."""
+    """Aligned, repaired, collapsed, scaled and logged properties, one row per key and year.
+
+    The aligned table is staged; everything after it is a projection of it.
+    """
     first, second = (snapshots[y] for y in spec.years)
     wide = stage(align_snapshots(first, second, spec.key, SUFFIX), "aligned")
     names = [c for c in first.columns if c in second.columns and c != spec.key]

@@ -161,6 +161,18 @@ def _code(column: str, relation: str) -> str:
     )
 
 
+def _recipe(fold_key: str) -> str:
+    """Clipped later sales with a filled feature, hashed folds, and one line per fold."""
+    return f"""{TX},
+        lagged as (select *, lag(observed) over (partition by parcel order by dt, row_key) as prev from tx),
+        later as (select row_key, least(1e0, greatest(-1e0, observed)) as y, prev,
+                  cast(cast('0x' || substr(md5({fold_key} || '_11'), 1, 8) as bigint) % 5 as int) as fold
+                  from lagged where month_block > 3 and observed is not null),
+        filled as (select row_key, y, fold, coalesce(prev, (select min(prev) - 1 from later)) as x from later),
+        fits as (select f.fold, regr_slope(y, x) as slope, regr_intercept(y, x) as base
+                 from filled t join (select distinct fold from filled) f on t.fold <> f.fold group by f.fold)"""
+
+
 # The feature job, step by step.
 
 STAT_KEYS = (
@@ -466,10 +478,11 @@ ORACLE_SQL: dict[str, str] = {
         ", ".join(_stat_columns(k, "balancecnt", "snapshot_year") for k in ("regionid", "usecode", "regionid, usecode"))
     } from stacked""",
     "group_stats_for_sales": f"""with {TX},
-        stats as (select c_custkey, c_nationkey, c_mktsegment, c_acctbal, {
-        ", ".join(_stat_columns(k, "c_acctbal") for k in ("c_nationkey", "c_nationkey, c_mktsegment"))
-    } from customer)
-        select row_key, parcel, stats.* exclude (c_custkey) from tx left join stats on c_custkey = parcel""",
+        worths as (select *, sqrt(c_acctbal + 1000) as worth from customer),
+        stats as (select c_custkey, c_nationkey, c_mktsegment, worth as raw_worth, {
+        ", ".join(_stat_columns(k, "worth") for k in ("c_nationkey", "c_nationkey, c_mktsegment"))
+    } from worths)
+        select row_key, parcel, stats.* exclude (c_custkey, raw_worth), round(raw_worth, 6) as worth from tx left join stats on c_custkey = parcel""",
     "contiguous_folds": f"""with {TX}
         select row_key, parcel, cast(ntile(5) over (order by dt, row_key) - 1 as int) as fold from tx""",
     "shuffled_folds": """select o_orderkey as row_key,
@@ -485,6 +498,14 @@ ORACLE_SQL: dict[str, str] = {
                round((select avg(o.observed) from folded o where o.fold <> f.fold and o.segment = f.segment), 6)
                  as segment_observed_enc
         from folded f""",
+    "target_encode_region": f"""with {SEGMENTED},
+        placed as (select row_key, n_regionkey as region, segment, observed,
+                   cast(cast('0x' || substr(md5(row_key || '_5'), 1, 8) as bigint) % 7 as int) as fold
+                   from segmented left join nation on n_nationkey = nation)
+        select row_key, fold,
+               round((select avg(o.observed) from placed o where o.fold <> p.fold and o.region is not distinct from p.region
+                      and o.segment is not distinct from p.segment), 6) as region_segment_observed_enc
+        from placed p""",
     "target_encode_apply": f"""with {SEGMENTED},
         keys as (select c_custkey, c_nationkey + case when c_acctbal > 5000 then 10 else 0 end as nation,
                         case when c_mktsegment <> 'MACHINERY' then c_mktsegment end as segment from customer)
@@ -577,6 +598,13 @@ ORACLE_SQL: dict[str, str] = {
     "ensemble_predict": f"""with {LINES}
         select l_orderkey, round(avg(base + slope * quantity), 6) as prediction
         from price_lines cross join fits group by l_orderkey""",
+    "training_recipe": f"""with {_recipe("row_key")}
+        select row_key, t.fold, round(y, 6) as logerror, round(base + slope * x, 6) as prediction
+        from filled t join fits f on f.fold = t.fold""",
+    "training_summary": f"""with {_recipe("parcel")},
+        by_fold as (select f.fold, case when t.fold = f.fold then 'valid' else 'train' end as split,
+                    avg(abs(y - base - slope * x)) as mae from filled t cross join fits f group by 1, 2)
+        select split, round(avg(mae), 6) as mae_mean, round(stddev_pop(mae), 6) as mae_std from by_fold group by split""",
     "blend": """with o as (
           select l_orderkey, sum(l_quantity) as a, cast(count(*) as double) as b, sum(l_extendedprice) / 1e5 as y
           from lineitem group by l_orderkey),
