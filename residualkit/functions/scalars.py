@@ -76,16 +76,6 @@ def composite_text(*parts: Column | str) -> Column:
     return F.btrim(joined, F.lit("_"))
 
 
-def difference_to(mean: Column | str, value: Column | str) -> Column:
-    return _column(mean) - _column(value)
-
-
-def ratio_to(mean: Column | str, value: Column | str) -> Column:
-    """``(mean - value) / mean``, NULL for a zero mean."""
-    m = _column(mean)
-    return F.try_divide(m - _column(value), m)
-
-
 def balanced_sum(terms: list[Column]) -> Column:
     """Sum as a balanced tree, so that hundreds of terms stay a shallow expression."""
     while len(terms) > 2:
@@ -97,7 +87,9 @@ def null_count(columns: list[str]) -> Column:
     """How many of the named columns are NULL in this row."""
     if not columns:
         return F.lit(0)
-    return balanced_sum([F.col(c).isNull().cast("int") for c in columns])
+    groups = [columns[i : i + 32] for i in range(0, len(columns), 32)]
+    sums = ["(" + " + ".join(f"int(`{c}` is null)" for c in group) + ")" for group in groups]
+    return F.expr(" + ".join(sums))
 
 
 def hash_bucket(key: Column | str, buckets: int, seed: int) -> Column:

@@ -32,10 +32,10 @@ class RareCategories:
             if source not in self.tables:
                 continue
             rare = self.tables[source].withColumnRenamed(source, column).withColumn("_rare", F.lit(True))
-            kind = dict(df.dtypes)[column]
+            kind = df.schema[column].dataType
             joined = lookup_join(df, rare, [column], at_most=self.table_size)
             value = F.when(F.col("_rare"), F.lit(self.replacements[source]).cast(kind)).otherwise(F.col(column))
-            df = joined.select(*[value.alias(c) if c == column else F.col(c) for c in df.columns])
+            df = joined.withColumn(column, value).drop("_rare")
         return df
 
 
@@ -80,7 +80,7 @@ class LabelCodes:
             if unseen == "error":
                 message = F.concat(F.lit(f"unseen value in {column}: "), F.col("_text"))
                 code = F.coalesce(code, F.raise_error(message).cast("int"))
-            df = joined.select(*[code.alias(c) if c == column else F.col(c) for c in df.columns])
+            df = joined.withColumn(column, code).drop("_text", "_code")
         return df
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
-from residualkit.functions.scalars import difference_to, ratio_to
 from residualkit.operators.lookup import lookup_join, table_bytes
 from residualkit.staging import stage
 
@@ -34,22 +33,24 @@ class GroupStats:
         return rows.select(*keys, *self.values)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """Append ``_mean``, ``_dif`` and ``_ratio`` of every value for every key set."""
+        """Append ``_mean``, ``_dif`` and ``_ratio`` of every value for every key set.
+
+        All means are joined first and one projection follows. It is given as SQL
+        text, because building hundreds of column objects one by one is slow.
+        """
+        joined, added = df, []
         for index, key_set in enumerate(self.key_sets):
             name = "_".join(key_set)
-            keys = [*self.within, *key_set]
             means = self.means(index).withColumnsRenamed({v: f"{name}_{v}_mean" for v in self.values})
-            joined = lookup_join(df, means, keys, at_most=self.table_size)
-            added = []
+            joined = lookup_join(joined, means, [*self.within, *key_set], at_most=self.table_size)
             for v in self.values:
-                mean = F.col(f"{name}_{v}_mean")
+                mean = f"`{name}_{v}_mean`"
                 added += [
                     mean,
-                    difference_to(mean, v).alias(f"{name}_{v}_dif"),
-                    ratio_to(mean, v).alias(f"{name}_{v}_ratio"),
+                    f"{mean} - `{v}` as `{name}_{v}_dif`",
+                    f"try_divide({mean} - `{v}`, {mean}) as `{name}_{v}_ratio`",
                 ]
-            df = joined.select(*df.columns, *added)
-        return df
+        return joined.selectExpr(*[f"`{c}`" for c in df.columns], *added)
 
 
 def fit_group_stats(

@@ -94,9 +94,8 @@ def keyed_join(
     joined = left_join(flagged, F.broadcast(hot), on, null_safe)
     joined = left_join(joined, cold, [*on, "_salt"], null_safe)
     chosen = F.when(F.col("_heavy"), F.col("_hot")).otherwise(F.col("_cold"))
-    return joined.select(*df.columns, chosen.alias("_value")).select(
-        *df.columns, *[F.col("_value")[c].alias(c) for c in payload]
-    )
+    helpers = ["_heavy", "_salt", "_hot", "_cold"]
+    return joined.withColumn("_value", chosen).drop(*helpers).select("*", "_value.*").drop("_value")
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], floor: int = HEAVY_FLOOR) -> list[Row]:
@@ -110,11 +109,8 @@ def heavy_keys(df: DataFrame, on: Sequence[str], floor: int = HEAVY_FLOOR) -> li
 
 
 def left_join(df: DataFrame, table: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Plain left join on equally named keys, keeping the keys of ``df`` once."""
-    if not null_safe:
-        return df.join(table, list(on), "left").select(*df.columns, *[c for c in table.columns if c not in on])
+    """Plain left join on equally named keys: the columns of ``df``, then the others of ``table``."""
     renamed = table.withColumnsRenamed({k: f"_right_{k}" for k in on})
-    match = F.lit(True)
-    for k in on:
-        match = match & df[k].eqNullSafe(F.col(f"_right_{k}"))
-    return df.join(renamed, match, "left").drop(*[f"_right_{k}" for k in on])
+    equal = "<=>" if null_safe else "="
+    match = " and ".join(f"`{k}` {equal} `_right_{k}`" for k in on)
+    return df.join(renamed, F.expr(match), "left").drop(*[f"_right_{k}" for k in on])

@@ -35,13 +35,13 @@ class TargetEncoding:
     def apply_train(self, df: DataFrame, fold: str) -> DataFrame:
         """Mean target of the category in the other folds; NULL if it is only in this one."""
         joined = lookup_join(df, self.table.drop("_mean"), self.keys, null_safe=self.composite, at_most=self.table_size)
-        return joined.select(*df.columns, F.get(F.col("_others"), F.col(fold)).alias(self.name))
+        return joined.withColumn(self.name, F.get(F.col("_others"), F.col(fold))).drop("_others")
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Mean target of the category over all training rows, else the global mean."""
         joined = lookup_join(df, self.table.drop("_others"), self.keys, null_safe=self.composite, at_most=self.table_size)
         fallback = F.lit(self.global_mean).cast("double")
-        return joined.select(*df.columns, F.coalesce(F.col("_mean"), fallback).alias(self.name))
+        return joined.withColumn(self.name, F.coalesce(F.col("_mean"), fallback)).drop("_mean")
 
 
 def fit_target_encodings(

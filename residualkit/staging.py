@@ -53,7 +53,10 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    staged = spark.read.schema(df.schema).parquet(path)
+    if partition_by is None:
+        return staged
+    return staged.select(*[f"`{c}`" for c in df.columns])
 
 
 def clear_staged(spark: SparkSession) -> bool:

@@ -25,12 +25,6 @@ def test_log_offset_is_missing_where_undefined(spark):
     assert got[4] == pytest.approx(0.0)
 
 
-def test_ratio_to_zero_mean_is_missing(spark):
-    df = spark.createDataFrame([(0.0, 1.0), (2.0, 1.0), (None, 1.0)], "m double, x double")
-    got = [tuple(r) for r in df.select(scalars.difference_to("m", "x"), scalars.ratio_to("m", "x")).collect()]
-    assert got == [(-1.0, None), (1.0, 0.5), (None, None)]
-
-
 def test_month_block_and_calendar(spark):
     df = spark.createDataFrame([("2016-01-31",), ("2017-09-15",)], "d string").select(F.to_date("d").alias("d"))
     parts = scalars.calendar_columns("d", 2016)
