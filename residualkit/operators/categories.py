@@ -13,7 +13,7 @@ from residualkit.functions.scalars import text_or_nan
 from residualkit.operators.lookup import lookup_join, table_bytes
 from residualkit.operators.ordering import row_index
 from residualkit.operators.snapshots import union_by_name
-from residualkit.staging import stage
+from residualkit.staging import stage_measured
 
 
 @dataclass(frozen=True)
@@ -51,14 +51,14 @@ def fit_rare(df: DataFrame, columns: Sequence[str], threshold: int = 100) -> Rar
         .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") < threshold)
     )
-    rare = stage(counted, "rare", partition_by="_set")
+    rare, size = stage_measured(counted, "rare", partition_by="_set")
     marks = {c: grouping_mark(columns, [c]) for c in columns}
     lows = rare.agg(*[F.min(F.when(F.col("_set") == marks[c], F.col(c))).alias(c) for c in columns]).first()
     replacements = {c: lows[c] for c in columns if lows[c] is not None}
     tables = {
         c: rare.filter((F.col("_set") == marks[c]) & F.col(c).isNotNull()).select(c) for c in replacements
     }
-    return RareCategories(tables, table_bytes(rare), replacements)
+    return RareCategories(tables, size, replacements)
 
 
 @dataclass(frozen=True)

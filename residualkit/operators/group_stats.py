@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
-from residualkit.operators.lookup import lookup_join, table_bytes
-from residualkit.staging import stage
+from residualkit.operators.lookup import lookup_join
+from residualkit.staging import stage_measured
 
 
 @dataclass(frozen=True)
@@ -72,12 +72,12 @@ def fit_group_stats(
     table = base.groupingSets(grouping, *[F.col(k) for k in keys]).agg(
         F.grouping_id().alias("_set"), *means
     )
-    staged = stage(table, "means", partition_by="_set")
+    staged, size = stage_measured(table, "means", partition_by="_set")
     return GroupStats(
         sets,
         tuple(values),
         tuple(within),
         staged,
-        table_bytes(staged),
+        size,
         tuple(grouping_mark(keys, [*within, *s]) for s in sets),
     )

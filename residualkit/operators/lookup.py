@@ -18,9 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from residualkit.staging import size_columns, size_of
 
 HEAVY_SHARE = 1000
 HEAVY_FLOOR = 100_000
@@ -38,13 +39,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def table_bytes(table: DataFrame) -> int:
     """Unpacked size of a staged table, from one aggregate over it."""
-    texts = [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]
-    arrays = [f.name for f in table.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    fixed = 16 + 8 * len(table.columns)
-    extra: list[Column] = [F.sum(F.octet_length(F.col(c))) for c in texts]
-    extra += [F.sum(F.size(F.col(c)) * 9) for c in arrays]
-    row = table.agg(F.count(F.lit(1)), *extra).first()
-    return int(row[0]) * fixed + sum(int(v or 0) for v in row[1:])
+    return size_of(list(table.agg(*size_columns(table.schema)).first()), len(table.columns))
 
 
 def lookup_join(

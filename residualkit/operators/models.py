@@ -95,23 +95,35 @@ def cross_validate(
     else:
         models = [fit(i) for i in range(k)]
 
-    held_out, metrics = [], []
-    for i, model in enumerate(models):
-        scored = model.transform(vectors.filter(F.col(fold) == i))
-        held_out.append(scored.select(row_id, fold, label, "prediction"))
-        split = F.when(F.col(fold) == i, F.lit("valid")).otherwise(F.lit("train"))
-        everything = model.transform(vectors).withColumn("split", split)
-        metrics.append(
-            regression_metrics(everything, label, by=["split"]).select(F.lit(i).alias("fold"), "*")
-        )
+    held_out = [
+        model.transform(vectors.filter(F.col(fold) == i)).select(row_id, fold, label, "prediction")
+        for i, model in enumerate(models)
+    ]
     return CrossValidation(
         reduce(DataFrame.unionByName, held_out),
-        reduce(DataFrame.unionByName, metrics),
+        fold_metrics(vectors, models, label, fold, features),
         importance_table(df, models, feature_names),
         models,
     )
 
 
+def fold_metrics(
+    df: DataFrame, models: Sequence[Model], label: str, fold: str = "fold", features: str = "features"
+) -> DataFrame:
+    """Metrics of every fold's model on its own fold and on the others, in one pass over the rows."""
+    names = [f"_p{i}" for i in range(len(models))]
+    scored = with_predictions(df, models, names, features)
+    rows = [
+        F.struct(
+            F.lit(i).alias("fold"),
+            F.when(F.col(fold) == i, F.lit("valid")).otherwise(F.lit("train")).alias("split"),
+            F.col(name).alias("prediction"),
+        )
+        for i, name in enumerate(names)
+    ]
+    return regression_metrics(scored.select(label, F.inline(F.array(*rows))), label, by=["fold", "split"])
+
+
 def importance_table(df: DataFrame, models: Sequence[Model], names: Sequence[str]) -> DataFrame | None:
     """Feature, importance and fold; as many rows as features times folds."""
     if not names or not all(hasattr(m, "featureImportances") for m in models):

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import balanced_sum
-from residualkit.operators.lookup import lookup_join, table_bytes
-from residualkit.staging import stage
+from residualkit.operators.lookup import lookup_join
+from residualkit.staging import stage_measured
 
 
 @dataclass(frozen=True)
@@ -73,8 +73,7 @@ def fit_target_encodings(
         mean_of(everything).alias("_mean"),
         F.array(*[mean_of([j for j in everything if j != i]) for i in everything]).alias("_others"),
     )
-    staged = stage(means, "encodings", partition_by="_set")
-    size = table_bytes(staged)
+    staged, size = stage_measured(means, "encodings", partition_by="_set")
     overall = train.agg(F.avg(value)).first()[0]
 
     encodings = []

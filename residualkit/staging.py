@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -42,6 +45,30 @@ def staged_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/residualkit/{spark.sparkContext.applicationId}"
 
 
+def size_columns(schema: T.StructType) -> list[Column]:
+    """Aggregates that together give the unpacked size of a table, see :func:`size_of`."""
+    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    arrays = [F.size(F.col(f"`{f.name}`")) * 9 for f in schema.fields if isinstance(f.dataType, T.ArrayType)]
+    varying = [F.sum(c).alias(f"v{i}") for i, c in enumerate([*texts, *arrays])]
+    return [F.count(F.lit(1)).alias("n"), *varying]
+
+
+def size_of(values: Sequence[int | None], width: int) -> int:
+    """Bytes of a table of ``width`` columns, from the values of its :func:`size_columns`."""
+    rows, *varying = values
+    return rows * (16 + 8 * width) + sum(v or 0 for v in varying)
+
+
+def stage_measured(df: DataFrame, label: str, partition_by: str | None = None) -> tuple[DataFrame, int]:
+    """Stage a table and learn its unpacked size while writing it.
+
+    A task that runs twice is counted twice, so the size is an upper bound.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *size_columns(df.schema)), label, partition_by)
+    return staged, size_of(list(seen.get.values()), len(df.columns))
+
+
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the checkpoint folder and return a scan of what was written.
 
