@@ -18,6 +18,8 @@ from residualkit.functions.scalars import balanced_sum
 from residualkit.operators.metrics import regression_metrics
 from residualkit.staging import checkpoint_root, stage
 
+FIRST_TREES = 32
+
 
 @dataclass(frozen=True)
 class VectorPrep:
@@ -84,10 +86,10 @@ def cross_validate(
     prepared = estimator.copy({estimator.labelCol: label, estimator.featuresCol: features})
 
     def fit(i: int) -> Model:
-        model = prepared.fit(vectors.filter(F.col(fold) != i))
-        if early_stopping_rounds is not None and isinstance(model, GBTRegressionModel):
-            model = stop_early(model, vectors.filter(F.col(fold) == i), early_stopping_rounds, eval_metric)
-        return model
+        others, own = vectors.filter(F.col(fold) != i), vectors.filter(F.col(fold) == i)
+        if early_stopping_rounds is not None and isinstance(prepared, GBTRegressor):
+            return fit_with_patience(prepared, others, own, early_stopping_rounds, eval_metric)
+        return prepared.fit(others)
 
     if parallelism > 1:
         with ThreadPool(min(parallelism, k)) as pool:
@@ -148,6 +150,31 @@ def best_prefix(losses: Sequence[float], patience: int) -> int:
     return best + 1
 
 
+def fit_with_patience(
+    estimator: GBTRegressor,
+    rows: DataFrame,
+    holdout: DataFrame,
+    patience: int,
+    metric: str = "mae",
+    first: int = FIRST_TREES,
+) -> GBTRegressionModel:
+    """Boost until ``patience`` trees in a row bring no improvement on ``holdout``.
+
+    The estimator's number of trees is only the limit. A fit of few trees is
+    tried first and doubled while its best tree is still close to its end. Trees
+    depend on the earlier ones and the seed alone, so a longer fit begins with the
+    shorter one and the result is the same as from a fit of all trees.
+    """
+    limit = estimator.getMaxIter()
+    trees = min(limit, max(first, 2 * patience))
+    while True:
+        model = estimator.copy({estimator.maxIter: trees}).fit(rows)
+        kept = stop_early(model, holdout, patience, metric)
+        if trees == limit or trees - kept.getNumTrees >= patience:
+            return kept
+        trees = min(limit, 2 * trees)
+
+
 def stop_early(model: GBTRegressionModel, holdout: DataFrame, patience: int, metric: str = "mae") -> GBTRegressionModel:
     """Keep the trees up to the best one on ``holdout``.
 

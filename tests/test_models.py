@@ -52,6 +52,18 @@ def test_first_trees_are_a_prefix(spark, signal):
     assert models.stop_early(six, data, 1, "mae").getNumTrees == models.best_prefix(losses, 1)
 
 
+def test_doubling_finds_the_same_trees_as_one_long_fit(spark, signal):
+    data = models.fit_vector_prep(signal, ["x", "z"]).apply(signal)
+    rows_, holdout = data.filter("row_id % 3 > 0"), data.filter("row_id % 3 = 0")
+    estimator = GBTRegressor(labelCol="logerror", maxIter=20, maxDepth=2, stepSize=0.6, seed=4)
+    whole = models.stop_early(estimator.fit(rows_), holdout, 1)
+    grown = models.fit_with_patience(estimator, rows_, holdout, 1, first=2)
+    assert grown.getNumTrees == whole.getNumTrees
+    names = ["a", "b"]
+    gap = models.with_predictions(holdout, [grown, whole], names).agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+    assert gap < 1e-12
+
+
 def test_cross_validation_covers_every_row_once_and_beats_the_median(spark, signal):
     config = TrainConfig(
         n_splits=3,
