@@ -23,6 +23,7 @@ from residualkit.operators.snapshots import (
     union_by_name,
 )
 from residualkit.operators.target_encoding import fit_target_encodings
+from residualkit.sources.tables import bool_to_text
 from residualkit.staging import stage
 
 # Column names, months and thresholds the feature tables are defined by.
@@ -133,7 +134,7 @@ def build_features(
 ) -> FeatureFrames:
     """Run the feature job.
 
-    ``sales`` need a unique ``row_id`` per row; it breaks ties between sales of
+    ``sales`` need a ``row_id`` that is unique over all years; it breaks ties between sales of
     one day. Both years travel in one frame with a ``snapshot_year`` column, so
     every join and every statistic is done once for both. Fold numbers and sale
     history are taken from the narrow sales table before anything wide is joined.
@@ -185,7 +186,7 @@ def clean_properties(snapshots: Mapping[int, DataFrame], spec: FeatureSpec) -> D
 
     The aligned table is staged; everything after it is a projection of it.
     """
-    first, second = (snapshots[y] for y in spec.years)
+    first, second = (bool_to_text(snapshots[y]) for y in spec.years)
     wide = stage(align_snapshots(first, second, spec.key, SUFFIX), "aligned")
     names = [c for c in first.columns if c in second.columns and c != spec.key]
     filled = columns_matching(names, spec.fill_parts, spec.fill_excluded)

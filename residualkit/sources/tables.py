@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from residualkit.functions.scalars import nan_to_null
+from residualkit.operators.ordering import row_index
+from residualkit.staging import stage
 
 # Texts that mean "missing" in a CSV file.
 MISSING_TEXTS = (
@@ -55,6 +57,31 @@ def read_table(
     return missing_to_null(reader.options(**options).load(path), texts=format == "csv")
 
 
+def read_in_order(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    format: str = "csv",
+    name: str = "row_id",
+    start: int = 0,
+    **options: str,
+) -> DataFrame:
+    """Read a table whose row order matters and number its rows in file order.
+
+    The order is file path, position of the split in the file, row in the split.
+    ``start`` lets the numbers of several files follow each other.
+    """
+    rows = read_table(spark, path, schema, format, **options)
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    numbered = row_index(stage(placed, "in_order"), ["_file", "_split", "_row"], name)
+    return numbered.drop("_file", "_split", "_row").withColumn(name, F.col(name) + start)
+
+
 def missing_to_null(df: DataFrame, texts: bool = False) -> DataFrame:
     """NaN becomes NULL in float columns; with ``texts`` so do missing markers in text columns."""
     changed = {}
@@ -68,9 +95,9 @@ def missing_to_null(df: DataFrame, texts: bool = False) -> DataFrame:
 
 
 def bool_to_text(df: DataFrame) -> DataFrame:
-    """Boolean columns as the text ``True``, or NULL where they are false or missing.
+    """Boolean columns as the texts ``True`` and ``False``.
 
-    A yes-or-nothing column inferred as boolean becomes the text category it is.
+    A yes-or-nothing column that was inferred as boolean becomes the text category it is.
     """
     changed = {
         f.name: F.when(F.col(f.name), F.lit("True")).when(~F.col(f.name), F.lit("False"))

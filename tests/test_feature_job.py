@@ -28,6 +28,7 @@ def snapshot(seed: int, keys: range) -> pd.DataFrame:
         row |= {c: maybe(float(rng.randrange(1, 9))) for c in OTHER}
         row |= {c: maybe(round(rng.uniform(-1, 900), 2)) for c in features.LOG_COLUMNS}
         row |= {c: maybe(rng.choice("ABCD") + c[:2]) for c in TEXTS}
+        row["hashottuborspa"] = True if row["hashottuborspa"] else None
         rows.append(row)
     return pd.DataFrame(rows)
 
@@ -52,6 +53,7 @@ def inputs():
 def frames(spark, inputs):
     snapshots, sales = inputs
     kinds = {c: "double" for c in (*ID_COLUMNS, *OTHER, *features.LOG_COLUMNS)} | {c: "string" for c in TEXTS}
+    kinds["hashottuborspa"] = "boolean"
     schema = "parcelid long, " + ", ".join(f"{c} {t}" for c, t in kinds.items())
     snaps = {
         y: spark.createDataFrame(f.astype(object).where(f.notna(), None)[["parcelid", *kinds]].values.tolist(), schema)
@@ -116,9 +118,9 @@ def by_hand(snapshots):
         for c in features.SCALED_COLUMNS:
             years[y][c] *= 10
     for c in TEXTS:
-        values = sorted({str(v) if isinstance(v, str) else "nan" for y in years for v in years[y][c]})
+        values = sorted({str(v) if v == v and v is not None else "nan" for y in years for v in years[y][c]})
         for y in years:
-            years[y][c] = [values.index(v if isinstance(v, str) else "nan") for v in years[y][c]]
+            years[y][c] = [values.index(str(v) if v == v and v is not None else "nan") for v in years[y][c]]
     return years
 
 

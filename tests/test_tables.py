@@ -2,7 +2,7 @@ import json
 import math
 
 import pytest
-from conftest import rows
+from conftest import rows, settings
 
 from residualkit.sources import config, tables
 from residualkit.staging import checkpoint_root, clear_staged, stage, staged_folder
@@ -17,6 +17,20 @@ def test_csv_missing_values_become_null(spark, tmp_path):
     assert rows(inferred, "id") == rows(got, "id")
 
 
+def test_rows_are_numbered_in_file_order_across_splits(spark, tmp_path):
+    path = tmp_path / "sales"
+    path.mkdir()
+    expected = []
+    for part in ("a", "b"):
+        lines = [f"{(i * 7919) % 1009},{part}{i}" for i in range(400 if part == "a" else 150)]
+        (path / f"{part}.csv").write_text("k,name\n" + "\n".join(lines) + "\n")
+        expected += [line.split(",")[1] for line in lines]
+    with settings(spark, spark__sql__files__maxPartitionBytes="900", spark__sql__files__openCostInBytes="1"):
+        df = tables.read_in_order(spark, str(path), "k long, name string", start=10)
+        got = rows(df.select("row_id", "name"), "row_id")
+    assert got == list(enumerate(expected, 10))
+
+
 def test_parquet_nan_becomes_null_and_key_filter_is_pushed(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, float("nan")), (2, 2.0)], "id long, x double").write.parquet(path)
