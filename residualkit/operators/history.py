@@ -49,15 +49,22 @@ def last_sales(
     """Per key, the last sale strictly before each horizon, as columns ``_h<horizon>``.
 
     One aggregation answers all horizons. It is combined before the shuffle, so
-    a key with very many sales sends one row per input partition.
+    a key with very many sales sends one row per input partition. A single
+    numeric order column, such as a sale number, makes it a hash aggregation;
+    several columns are compared as a struct, for which Spark sorts by key.
     """
     require(sales, order, "an order is needed because rows have none of their own")
-    sale = F.struct(F.col(period).alias("prev_month"), F.col(target).alias("prev_logerror"))
-    place = F.struct(*[F.col(c) for c in order])
-    known = [
-        F.max_by(F.when(F.col(period) < h, sale), F.when(F.col(period) < h, place)).alias(f"_h{h}")
-        for h in horizons
-    ]
+    sale = {"prev_month": F.col(period), "prev_logerror": F.col(target)}
+    known = []
+    for h in horizons:
+        early = F.col(period) < h
+        if len(order) == 1:
+            place = F.when(early, F.col(order[0]))
+            last = F.struct(*[F.max_by(value, place).alias(name) for name, value in sale.items()])
+        else:
+            place = F.when(early, F.struct(*[F.col(c) for c in order]))
+            last = F.max_by(F.struct(*[value.alias(name) for name, value in sale.items()]), place)
+        known.append(last.alias(f"_h{h}"))
     early = sales.filter(F.col(period) < max(horizons))
     return early.groupBy(key).agg(*known)
 

@@ -143,21 +143,22 @@ def build_features(
 
     order = ["_date", spec.row_id]
     tx = contiguous_folds(narrow_sales(sales, spec), spec.encoding_folds, order)
-    tx = stage(sale_history(tx, spec.score_key, order, "month_block", spec.target), "sales")
+    tx = sale_history(tx, spec.score_key, order, "month_block", spec.target, number="_number")
+    tx = stage(tx, "sales")
 
     history = asof_history_wide(
         template,
-        tx.select(spec.score_key, *order, "month_block", spec.target),
+        tx.select(spec.score_key, "_number", "month_block", spec.target),
         spec.score_key,
         {y: dict(m) for y, m in spec.horizons.items()},
-        order,
+        ["_number"],
         "snapshot_year",
         target=spec.target,
     )
     on = [spec.score_key, "snapshot_year"]
     # Scoring keys are unique, so no key can be hot; sales repeat theirs.
     score = stage(left_join(history, properties, on), "score")
-    train = attach_properties(tx, properties, on)
+    train = attach_properties(tx.drop("_number"), properties, on)
 
     labels = fit_labels([score], text_columns(properties))
     score, train = labels.apply(score), stage(labels.apply(train), "train")

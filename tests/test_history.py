@@ -92,6 +92,16 @@ def test_close_repeats_are_dropped(spark, sales):
         assert {r["row_id"] for r in filtered.collect()} == {1, 2, 5, 6, 7, 9, 11, 12}
 
 
+def test_a_single_order_column_gives_the_same_by_hash_aggregation(sales):
+    numbered = history.sale_history(sales, "k", ["d", "row_id"], number="n").filter("k is not null")
+    by_struct = history.last_sales(numbered, "k", [1, 2, 3, 20], ["d", "row_id"])
+    by_number = history.last_sales(numbered, "k", [1, 2, 3, 20], ["n"])
+    plan = by_number._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan.split("Window")[0]
+    flat = [F.col(f"_h{h}")[c] for h in (1, 2, 3, 20) for c in ("prev_month", "prev_logerror")]
+    assert rows(by_number.select("k", *flat), "k") == rows(by_struct.select("k", *flat), "k")
+
+
 def test_last_sales_is_one_shuffle_with_partial_aggregation(sales):
     plan = history.last_sales(sales, "k", [1, 2], ["d", "row_id"])
     text = plan._jdf.queryExecution().executedPlan().toString()
