@@ -105,6 +105,7 @@ class FeatureSpec:
         (place, use) for use in USE_KEYS for place in ENCODED_PLACES
     )
     encoding_folds: int = ENCODING_FOLDS
+    unseen_labels: str = "error"
     horizons: Mapping[int, Mapping[int, int]] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -161,7 +162,8 @@ def build_features(
     train = attach_properties(tx.drop("_number"), properties, on)
 
     labels = fit_labels([score], text_columns(properties))
-    score, train = labels.apply(score), stage(labels.apply(train), "train")
+    score = labels.apply(score)
+    train = stage(labels.apply(train, spec.unseen_labels), "train")
 
     key_sets = [s for s in spec.stat_key_sets if len(present(score, s)) == len(s)]
     encoded = [s for s in spec.encoding_key_sets if len(present(train, s)) == len(s)]
