@@ -10,10 +10,13 @@
    confirmed pairs are links, and alternating large-star and small-star steps
    turn links into components.
 5. A bucket whose members now lie in several components may still hide a link
-   between members that are both unlike the first. Such buckets, and only they,
-   are compared block by block; only pairs from different components whose
-   signatures agree leave a block. So within a component no pair is ever listed,
-   and no link between different components is lost.
+   between members that are both unlike the first. The members of such open
+   buckets, and only they, are grouped by the buckets they share, dealt into
+   chunks, and compared chunk by chunk on their full sets; only confirmed links between different
+   components leave a chunk. So within a component no pair is listed, no
+   candidate pair is listed at all, and no link between different components is
+   lost. The work of this step grows with the square of a group of texts that
+   are candidates of each other and yet not linked, spread over all tasks.
 
 A pair of exactly the threshold 0.8 shares none of the 32 bands of 4 with a
 probability of 5e-8; signatures drop a pair only if they agree in less than
@@ -38,7 +41,9 @@ from residualkit.llm.words import hashed_runs, shingle_set, text_buffer
 from residualkit.staging import stage
 
 SLACK = 0.22
-BLOCK = 64
+CHUNK = 64
+CHUNKED = ("ids", "comps", "signs", "sets")
+COLUMNS = 8192
 PIECE = 1024
 
 
@@ -111,20 +116,51 @@ def _agree(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
 
-def _agree_across(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs from two blocks that lie in different components and whose signatures agree."""
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The sorted distinct shingles of each text."""
+    for batch in batches:
+        words, bounds = hashed_runs(*text_buffer(batch.column(1)))
+        found = [shingle_set(words[bounds[i] : bounds[i + 1]], k).tobytes() for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists, by matrix products over slices of the shingles."""
+    sizes = [len(x) for x in (*left, *right)]
+    every = np.concatenate([*left, *right])
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+    column = np.concatenate([[0], np.cumsum(every[1:] != every[:-1])])
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(column[-1]) + 1, COLUMNS):
+        low, high = np.searchsorted(column, (begin, begin + COLUMNS))
+        has = np.zeros((len(sizes), COLUMNS), np.float32)
+        has[owner[low:high], column[low:high] - begin] = 1
+        counts += has[: len(left)] @ has[len(left) :].T
+    return np.rint(counts).astype(np.int64)
+
+
+def _chunk_links(batches: Iterator[pa.RecordBatch], least: float, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between two chunks: different components, agreeing signatures, full sets alike."""
     for batch in batches:
         rows = batch.to_pydict()
-        for ids, ids2, comps, comps2, signs, signs2 in zip(
-            *[rows[c] for c in ("ids", "ids2", "comps", "comps2", "signs", "signs2")], strict=True
+        for ids, ids2, comps, comps2, signs, signs2, sets, sets2 in zip(
+            *[rows[c] for c in ("ids", "ids2", "comps", "comps2", "signs", "signs2", "sets", "sets2")], strict=True
         ):
             x = np.frombuffer(b"".join(signs), "<u4").reshape(len(ids), -1)
             y = np.frombuffer(b"".join(signs2), "<u4").reshape(len(ids2), -1)
             alike = (x[:, None, :] == y[None, :, :]).mean(axis=2) >= least
             alike &= np.asarray(comps)[:, None] != np.asarray(comps2)[None, :]
-            i, j = np.nonzero(alike)
-            a, b = np.asarray(ids, np.int64)[i], np.asarray(ids2, np.int64)[j]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            i, j = np.flatnonzero(alike.any(axis=1)), np.flatnonzero(alike.any(axis=0))
+            if not len(i):
+                continue
+            left, right = ([np.frombuffer(own[n], np.uint64) for n in at] for own, at in ((sets, i), (sets2, j)))
+            common = common_counts(left, right)
+            union = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :] - common
+            at, to = np.nonzero((100 * common >= percent * union) & alike[np.ix_(i, j)])
+            a, b = np.asarray(ids, np.int64)[i[at]], np.asarray(ids2, np.int64)[j[to]]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def near_duplicates(
@@ -202,22 +238,39 @@ def _links(leads: DataFrame, texts: DataFrame, k: int, percent: int, bands: int,
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")
     )
     open_buckets = stage(spread.filter("low <> high and size > 2").select("bucket", "size"), "open")
-    block = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)))
-    inside = (
-        placed.select("bucket", "id", "comp")
-        .join(open_buckets, "bucket")
-        .withColumn("block", block)
+    opened = stage(placed.join(open_buckets, "bucket").select("lead", "id", "comp").distinct(), "opened")
+    grouped = components(opened.select(F.col("lead").alias("a"), F.col("id").alias("b")))
+    groups = stage(grouped.select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
+    return found.unionByName(_links_across(opened.select("id", "comp").distinct(), groups, leads, texts, k, percent, least))
+
+
+def _links_across(
+    opened: DataFrame, groups: DataFrame, leads: DataFrame, texts: DataFrame, k: int, percent: int, least: float
+) -> DataFrame:
+    """Links between texts of a group that lie in different components."""
+    wanted = texts.join(opened.select("id"), "id").select("id", "text")
+    sets = stage_python(wanted.mapInArrow(partial(_sets, k=k), "id long, shingles binary"), "sets", 128)
+    sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    dealt = groups.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    packed = (
+        dealt.join(opened, "id")
         .join(leads, "id")
-        .groupBy("bucket", "block")
-        .agg(F.collect_list(F.struct("id", "comp", "signature")).alias("m"))
-        .select("bucket", "block", F.col("m.id").alias("ids"), F.col("m.comp").alias("comps"), F.col("m.signature").alias("signs"))
+        .join(sets, "id")
+        .groupBy("group", "chunk")
+        .agg(F.collect_list(F.struct("id", "comp", "signature", "shingles")).alias("m"))
+        .select(
+            "group",
+            "chunk",
+            *[F.col(f"m.{c}").alias(n) for c, n in zip(("id", "comp", "signature", "shingles"), CHUNKED, strict=True)],
+        )
     )
-    blocks = stage(inside, "blocks")
-    others = blocks.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("block", "ids", "comps", "signs")])
-    facing = blocks.join(others, "bucket").filter("block <= block2").drop("bucket", "block", "block2")
-    across = stage_python(facing.mapInArrow(partial(_agree_across, least=least), "a long, b long"), "across", 64)
-    untested = across.distinct().join(pairs, ["a", "b"], "left_anti")
-    return found.unionByName(_confirmed(untested, texts, k, percent))
+    chunks = stage(packed, "chunks")
+    places = sizes.withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
+    pairs = places.withColumn("chunk2", F.explode(F.expr("sequence(chunk, chunks - 1)"))).drop("chunks")
+    second = chunks.select("group", *[F.col(c).alias(f"{c}2") for c in ("chunk", *CHUNKED)])
+    facing = pairs.join(chunks, ["group", "chunk"]).join(second, ["group", "chunk2"]).drop("group", "chunk", "chunk2")
+    compare = partial(_chunk_links, least=least, percent=percent)
+    return stage_python(facing.mapInArrow(compare, "a long, b long"), "across", 4)
 
 
 def _signature_check(pairs: DataFrame, leads: DataFrame, least: float) -> DataFrame:
