@@ -5,22 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from residualkit.llm.catalog import MIX_EPOCHS, MIX_PERCENT, MIX_SEED, MIX_WEIGHTS
 from residualkit.llm.frames import table
 from residualkit.llm.minhash import near_duplicates
+from residualkit.llm.mixing import mix
+from residualkit.llm.packing import pack
+from residualkit.llm.pii import redact
+from residualkit.llm.toxicity import toxicity
 from residualkit.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. Documents without an id stay: their scores belong to no row."""
+    rejected = toxicity(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest id."""
-    kept = near_duplicates(docs, k=5, percent=80).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near-duplicates stays: the one with the smallest id. Documents without an id stay."""
+    copies = near_duplicates(docs, k=5, percent=80).filter("not kept").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(COLUMNS)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts becomes a placeholder; ``n_chars`` is that of the new text."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mixture, one row for each time one is taken, whole."""
+    taken = mix(docs, MIX_WEIGHTS, MIX_PERCENT, MIX_EPOCHS, MIX_SEED, keep=COLUMNS)
+    return taken.select(COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in the training sequences."""
+    return pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("minhash_dedup", drop_near_duplicates),
+    ("pii", redact_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 ORACLE_SQL = None
@@ -30,5 +63,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        docs = stage(function(spark, docs, sf_dir), f"pipeline_{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,6 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Every text becomes a set of hashed features: words, word pairs, and pairs with
+Every text becomes a set of hashed features: words, their stems (the first four
+and the first six bytes, for languages that compound), word pairs, and pairs with
 one word left out between them. The weights are learned by FTRL-proximal, with a
 learning rate for every coordinate and an L1 penalty that leaves most of them
 exactly zero, so what is sent to the scoring tasks is a few kilobytes, and never
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 
 from residualkit.llm.frames import arrow_rows, first_columns, stage_python
 from residualkit.llm.labelled import held_out, training_rows
-from residualkit.llm.words import hashed_runs, mix, text_buffer, token_classes
+from residualkit.llm.words import mix, prefixed_runs, text_buffer, token_classes
 
 BITS = 20
+STEMS = (4, 6)
 SAMPLE = 12_000
 
 
@@ -31,9 +33,9 @@ SAMPLE = 12_000
 class Ftrl:
     """Settings of the learner: rate ``alpha / (beta + sqrt(sum of squared gradients))``, penalties, passes."""
 
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 2.0
+    l1: float = 5.0
     l2: float = 1.0
     passes: int = 3
 
@@ -53,10 +55,14 @@ class Weights:
         return full
 
 
-def features(words: np.ndarray, bounds: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Text number and bucket of every feature occurrence; grams do not cross texts."""
+    (words, *stems), bounds = prefixed_runs(*text_buffer(column), token_classes, (None, *STEMS))
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     found, owner = [words], [text]
+    for length, own in zip(STEMS, stems, strict=True):
+        found.append(mix(own + np.uint64(length)))
+        owner.append(text)
     for gap, odd in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
         if len(words) > gap:
             same = text[gap:] == text[:-gap]
@@ -68,8 +74,7 @@ def features(words: np.ndarray, bounds: np.ndarray, bits: int) -> tuple[np.ndarr
 def feature_sets(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Rows ``(id, y, features)`` from rows ``(id, text, y)``."""
     for batch in batches:
-        words, bounds = hashed_runs(*text_buffer(batch.column(1)), token_classes)
-        owner, bucket = features(words, bounds, bits)
+        owner, bucket = features(batch.column(1), bits)
         distinct = np.unique((owner << bits) | bucket)
         cuts = np.searchsorted(distinct >> bits, np.arange(batch.num_rows + 1))
         buckets = (distinct & ((1 << bits) - 1)).astype("<i4")
@@ -139,8 +144,7 @@ def _score(batches: Iterator[pa.RecordBatch], weights: Weights) -> Iterator[pa.R
     full, bits = weights.dense(), weights.bits
     used = full != 0
     for batch in batches:
-        words, bounds = hashed_runs(*text_buffer(batch.column(1)), token_classes)
-        owner, bucket = features(words, bounds, bits)
+        owner, bucket = features(batch.column(1), bits)
         hit = used[bucket]
         distinct = np.unique((owner[hit] << bits) | bucket[hit])
         total = np.bincount(distinct >> bits, full[distinct & ((1 << bits) - 1)], batch.num_rows) + weights.bias

@@ -9,7 +9,7 @@ one word, where that is longer).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -121,17 +121,27 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def hashed_runs(data: np.ndarray, offsets: np.ndarray, classes=word_classes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of all texts, and where those of each text begin and end."""
-    hashes, places = [], []
+    (hashes,), bounds = prefixed_runs(data, offsets, classes, (None,))
+    return hashes, bounds
+
+
+def prefixed_runs(
+    data: np.ndarray, offsets: np.ndarray, classes, prefixes: Sequence[int | None]
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """As :func:`hashed_runs`, with hashes of the first bytes of each run for every length in ``prefixes`` (None: all)."""
+    hashes: list[list[np.ndarray]] = [[] for _ in prefixes]
+    places = []
     for begin, end in _slices(data, offsets):
         b = lower(data[begin:end])
         inside = offsets[(offsets > begin) & (offsets < end)] - begin
         starts, ends = runs(classes(b), inside)
-        hashes.append(run_hashes(b, starts, ends))
+        for own, length in zip(hashes, prefixes, strict=True):
+            own.append(run_hashes(b, starts, ends if length is None else np.minimum(ends, starts + length)))
         places.append(starts + begin)
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    if not places:
+        return [np.zeros(0, np.uint64) for _ in prefixes], np.zeros(len(offsets), np.int64)
     place = np.concatenate(places)
-    return np.concatenate(hashes), np.searchsorted(place, offsets, "left")
+    return [np.concatenate(own) for own in hashes], np.searchsorted(place, offsets, "left")
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
