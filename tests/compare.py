@@ -62,7 +62,7 @@ def main(arguments: list[str]) -> int:
 
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
     chosen = arguments[1:] or list(queries())
-    spark = local_session("compare")
+    spark = local_session("compare", 4)
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name in chosen:
