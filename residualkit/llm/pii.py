@@ -349,9 +349,11 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     model = fit_spans(found)
     marked = found.select(F.col(f"`{id_column}`"), accepted(F.col("spans"), model).alias("s"))
     base = F.filter("s", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("s", lambda s, i=i: s["base"] & (s["kind"] == i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("s", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return marked.select(
         F.col(f"`{id_column}`"), *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("s")).alias("spans")
     )
