@@ -9,11 +9,13 @@ nothing but two numbers per round reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from residualkit.staging import stage
 
+Mark = tuple[int, int]
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
     """``(node, component)`` of every linked node; ``component`` is its smallest reachable node.
@@ -24,19 +26,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     with the logarithm of the longest chain.
     """
     x, y = F.col(a), F.col(b)
-    edges = stage(
-        links.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v"), x.isNull().alias("_x"), y.isNull().alias("_y"))
-        .filter("not _x and not _y and u <> v")
-        .select("u", "v")
-        .distinct(),
-        "links",
-    )
-    before = _mark(edges)
+    usable = links.filter(x.isNotNull() & y.isNotNull() & (x != y))
+    edges, before = _marked(usable.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "links")
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        edges = _small_star(_large_star(edges))
-        now = _mark(edges)
+        edges, now = _small_star(_large_star(edges))
         if now == before:
             break
         before = now
@@ -46,23 +41,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     return members.unionByName(members.select(F.col("component").alias("node"), "component").distinct())
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-    ).first()
-    return row["n"], int(row["h"] or 0)
+def _marked(edges: DataFrame, label: str) -> tuple[DataFrame, Mark]:
+    """Write edges and learn, while writing, how many they are and a sum over them that tells two sets apart."""
+    seen = Observation()
+    counted = edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    )
+    written = stage(counted, label)
+    values = seen.get
+    return written, (values["n"], int(values["h"] or 0))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
+    """Link every larger neighbour of a node to the smallest of the node and its neighbours; pairs may repeat."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "smallest")
     linked = both.join(smallest, "u").filter("v > u and v <> m")
-    return stage(linked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
+    return stage(linked.select(F.col("v").alias("u"), F.col("m").alias("v")), "large_star")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, Mark]:
     """Link a node and its smaller neighbours to the smallest of them."""
     smallest = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "smallest")
     others = edges.join(smallest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return stage(smallest.select("u", F.col("m").alias("v")).unionByName(others).distinct(), "small_star")
+    return _marked(smallest.select("u", F.col("m").alias("v")).unionByName(others).distinct(), "small_star")

@@ -11,7 +11,7 @@
    turn links into components.
 5. A bucket whose members now lie in several components may still hide a link
    between members that are both unlike the first. The members of such open
-   buckets, and only they, are grouped by the buckets they share, dealt into
+   buckets, and only they, are grouped by the smallest member of their bucket, dealt into
    chunks, and compared chunk by chunk on their full sets; only confirmed links between different
    components leave a chunk. So within a component no pair is listed, no
    candidate pair is listed at all, and no link between different components is
@@ -218,7 +218,7 @@ def near_duplicates(
 
 
 def _links(leads: DataFrame, texts: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """Confirmed links between representatives; enough of them to give all components."""
+    """Links between representatives that give all components: those found first, as stars, and those across them."""
     width = 4 * rows
     keys = [F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(bands)]
     banded = leads.select("id", F.explode(F.array(*keys)).alias("bucket"))
@@ -238,23 +238,21 @@ def _links(leads: DataFrame, texts: DataFrame, k: int, percent: int, bands: int,
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")
     )
     open_buckets = stage(spread.filter("low <> high and size > 2").select("bucket", "size"), "open")
-    opened = stage(placed.join(open_buckets, "bucket").select("lead", "id", "comp").distinct(), "opened")
-    grouped = components(opened.select(F.col("lead").alias("a"), F.col("id").alias("b")))
-    groups = stage(grouped.select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
-    return found.unionByName(_links_across(opened.select("id", "comp").distinct(), groups, leads, texts, k, percent, least))
+    opened = placed.join(open_buckets, "bucket").select(F.col("lead").alias("group"), "id", "comp").distinct()
+    across = _links_across(stage(opened, "opened"), leads, texts, k, percent, least)
+    return reached.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across)
 
 
 def _links_across(
-    opened: DataFrame, groups: DataFrame, leads: DataFrame, texts: DataFrame, k: int, percent: int, least: float
+    opened: DataFrame, leads: DataFrame, texts: DataFrame, k: int, percent: int, least: float
 ) -> DataFrame:
     """Links between texts of a group that lie in different components."""
-    wanted = texts.join(opened.select("id"), "id").select("id", "text")
+    wanted = texts.join(opened.select("id").distinct(), "id").select("id", "text")
     sets = stage_python(wanted.mapInArrow(partial(_sets, k=k), "id long, shingles binary"), "sets", 128)
-    sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    dealt = groups.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    sizes = stage(opened.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "sizes")
+    dealt = opened.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     packed = (
-        dealt.join(opened, "id")
-        .join(leads, "id")
+        dealt.join(leads, "id")
         .join(sets, "id")
         .groupBy("group", "chunk")
         .agg(F.collect_list(F.struct("id", "comp", "signature", "shingles")).alias("m"))
