@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import text_or_nan
-from residualkit.operators.lookup import lookup_join, table_bytes
+from residualkit.operators.lookup import lookup_chain, table_bytes
 from residualkit.operators.ordering import row_index
 from residualkit.operators.snapshots import union_by_name
 from residualkit.staging import stage_measured
@@ -27,16 +27,17 @@ class RareCategories:
     def apply(self, df: DataFrame, twins: Mapping[str, str] | None = None) -> DataFrame:
         """Collapse the rare values. ``twins`` names further columns, each with the
         fitted column whose list it uses."""
-        sources = {**{c: c for c in self.tables}, **(twins or {})}
-        for column, source in sources.items():
-            if source not in self.tables:
-                continue
-            rare = self.tables[source].withColumnRenamed(source, column).withColumn("_rare", F.lit(True))
-            kind = df.schema[column].dataType
-            joined = lookup_join(df, rare, [column], at_most=self.table_size)
-            value = F.when(F.col("_rare"), F.lit(self.replacements[source]).cast(kind)).otherwise(F.col(column))
-            df = joined.withColumn(column, value).drop("_rare")
-        return df
+        sources = {c: s for c, s in {**{c: c for c in self.tables}, **(twins or {})}.items() if s in self.tables}
+        tables = [
+            (self.tables[s].withColumnRenamed(s, c).withColumn(f"_rare_{i}", F.lit(True)), [c], False)
+            for i, (c, s) in enumerate(sources.items())
+        ]
+        joined = lookup_chain(df, tables, [self.table_size] * len(tables))
+        values = {
+            c: F.when(F.col(f"_rare_{i}"), F.lit(self.replacements[s]).cast(df.schema[c].dataType)).otherwise(F.col(c))
+            for i, (c, s) in enumerate(sources.items())
+        }
+        return joined.withColumns(values).select(*[f"`{c}`" for c in df.columns]) if values else df
 
 
 def fit_rare(df: DataFrame, columns: Sequence[str], threshold: int = 100) -> RareCategories:
@@ -73,15 +74,21 @@ class LabelCodes:
         time, or NULL with ``unseen="null"``."""
         if unseen not in ("error", "null"):
             raise ValueError(f"unseen must be error or null, not {unseen}")
-        for column, table in self.tables.items():
-            keyed = df.withColumn("_text", text_or_nan(column))
-            joined = lookup_join(keyed, table, ["_text"], at_most=self.table_size)
-            code = F.col("_code")
+        if not self.tables:
+            return df
+        keyed = df.withColumns({f"_text_{i}": text_or_nan(c) for i, c in enumerate(self.tables)})
+        tables = [
+            (table.withColumnsRenamed({"_text": f"_text_{i}", "_code": f"_code_{i}"}), [f"_text_{i}"], False)
+            for i, table in enumerate(self.tables.values())
+        ]
+        joined = lookup_chain(keyed, tables, [self.table_size] * len(tables))
+        codes = {}
+        for i, column in enumerate(self.tables):
+            codes[column] = F.col(f"_code_{i}")
             if unseen == "error":
-                message = F.concat(F.lit(f"unseen value in {column}: "), F.col("_text"))
-                code = F.coalesce(code, F.raise_error(message).cast("int"))
-            df = joined.withColumn(column, code).drop("_text", "_code")
-        return df
+                message = F.concat(F.lit(f"unseen value in {column}: "), F.col(f"_text_{i}"))
+                codes[column] = F.coalesce(codes[column], F.raise_error(message).cast("int"))
+        return joined.withColumns(codes).select(*[f"`{c}`" for c in df.columns])
 
 
 def fit_labels(frames: Sequence[DataFrame], columns: Sequence[str]) -> LabelCodes:

@@ -64,6 +64,23 @@ def shuffled_folds(df: DataFrame, key: str, k: int, seed: int, exact: bool = Fal
     return contiguous_folds(marked, k, ["_hash", key], name).drop("_hash")
 
 
-def group_folds(df: DataFrame, group: str, k: int, seed: int, name: str = "fold") -> DataFrame:
-    """Folds by a seeded hash of the group: a group never straddles two folds."""
-    return df.withColumn(name, hash_bucket(group, k, seed))
+def group_folds(
+    df: DataFrame, group: str, k: int, seed: int, name: str = "fold", row_key: str | None = None
+) -> DataFrame:
+    """Folds by a seeded hash of the group: a group never straddles two folds.
+
+    A row without a group is a group of its own and is placed by ``row_key``.
+    Where there is no such column, or it is missing too, the row is an error at
+    run time, because a row without a fold would be trained on by no model.
+    """
+    own = hash_bucket(group, k, seed)
+    alone = F.raise_error(F.lit(f"a row has no {group}; name a row_key")).cast("int")
+    if row_key is not None:
+        alone = F.coalesce(hash_bucket(row_key, k, seed), alone)
+    return df.withColumn(name, F.coalesce(own, alone))
+
+
+def checked_fold(fold: str, k: int) -> Column:
+    """The fold, or an error at run time where it is missing or not between 0 and ``k`` - 1."""
+    wrong = F.concat(F.lit(f"{fold} must be 0 to {k - 1}, not "), F.coalesce(F.col(fold).cast("string"), F.lit("missing")))
+    return F.when(F.col(fold).between(0, k - 1), F.col(fold)).otherwise(F.raise_error(wrong).cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
-from residualkit.operators.lookup import lookup_join
+from residualkit.operators.lookup import broadcast_limit, lookup_chain, set_sizes
 from residualkit.staging import stage_measured
 
 
@@ -32,17 +32,19 @@ class GroupStats:
             rows = rows.filter(F.col(k).isNotNull())
         return rows.select(*keys, *self.values)
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, shuffle: bool = False) -> DataFrame:
         """Append ``_mean``, ``_dif`` and ``_ratio`` of every value for every key set.
 
         All means are joined first and one projection follows. It is given as SQL
         text, because building hundreds of column objects one by one is slow.
+        Where means are too large to broadcast, ``df`` is read once more to count
+        its heavy keys; ``shuffle`` treats all means that way.
         """
-        joined, added = df, []
+        tables, added = [], []
         for index, key_set in enumerate(self.key_sets):
             name = "_".join(key_set)
             means = self.means(index).withColumnsRenamed({v: f"{name}_{v}_mean" for v in self.values})
-            joined = lookup_join(joined, means, [*self.within, *key_set], at_most=self.table_size)
+            tables.append((means, [*self.within, *key_set], False))
             for v in self.values:
                 mean = f"`{name}_{v}_mean`"
                 added += [
@@ -50,8 +52,18 @@ class GroupStats:
                     f"{mean} - `{v}` as `{name}_{v}_dif`",
                     f"try_divide({mean} - `{v}`, {mean}) as `{name}_{v}_ratio`",
                 ]
+        joined = lookup_chain(df, tables, self.sizes(df, shuffle))
         return joined.selectExpr(*[f"`{c}`" for c in df.columns], *added)
 
+    def sizes(self, df: DataFrame, shuffle: bool) -> list[int]:
+        """A bound on the bytes of each key set's means: that of the whole table, unless it is too large to broadcast."""
+        if shuffle:
+            return [1 << 62] * len(self.set_ids)
+        if self.table_size <= broadcast_limit(df.sparkSession):
+            return [self.table_size] * len(self.set_ids)
+        measured = set_sizes(self.table)
+        return [measured.get(mark, 0) for mark in self.set_ids]
+
 
 def fit_group_stats(
     base: DataFrame,

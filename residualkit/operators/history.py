@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import require
 from residualkit.functions.scalars import flag
-from residualkit.operators.lookup import keyed_join
+from residualkit.operators.lookup import HEAVY_SHARE, keyed_join
 from residualkit.operators.ordering import number_and_previous
+from residualkit.staging import stage
 
 
 def sale_history(
@@ -143,8 +144,12 @@ def repeat_sale_pairs(sales: DataFrame, key: str, order: Sequence[str], target:
 
 def sales_of_repeat_keys(sales: DataFrame, key: str, target: str = "logerror") -> DataFrame:
     """The sales of keys that have more than one present target."""
-    counted = sales.groupBy(key).agg(F.count(target).alias("_present"))
-    return keyed_join(sales, counted, [key]).filter(F.col("_present") > 1).drop("_present")
+    counted = stage(sales.groupBy(key).agg(F.count(target).alias("_present"), F.count(F.lit(1)).alias("_rows")), "key_counts")
+    total = counted.agg(F.sum("_rows")).first()[0] or 0
+    bar = max(2, -(-total // HEAVY_SHARE))
+    heavy = counted.filter(F.col("_rows") >= bar).select(key).collect()
+    repeated = counted.filter((F.col("_present") > 1) & F.col(key).isNotNull()).select(key, "_present")
+    return keyed_join(sales, repeated, [key], heavy=heavy).filter(F.col("_present").isNotNull()).drop("_present")
 
 
 def drop_close_repeats(
@@ -157,6 +162,9 @@ def drop_close_repeats(
 ) -> DataFrame:
     """Drop a sale that follows the previous sale of its key within ``days`` days.
 
+    The previous sale is the row before, whether or not it was dropped itself:
+    of sales on days 0, 20, 40 and 60 only the first is kept.
+
     ``reasonable`` is an optional predicate; sales that fail it are set aside first.
     """
     kept = sales if reasonable is None else sales.filter(reasonable)

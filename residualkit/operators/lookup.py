@@ -21,10 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from residualkit.staging import size_columns, size_of
+from residualkit.functions.names import grouping_mark
+from residualkit.staging import size_columns, size_of, stage
 
 HEAVY_SHARE = 1000
-HEAVY_FLOOR = 100_000
 SALT_BUCKETS = 4096
 
 
@@ -43,19 +43,25 @@ def table_bytes(table: DataFrame) -> int:
 
 
 def lookup_join(
-    df: DataFrame, table: DataFrame, on: Sequence[str], null_safe: bool = False, at_most: int | None = None
+    df: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    null_safe: bool = False,
+    at_most: int | None = None,
+    heavy: list[Row] | None = None,
 ) -> DataFrame:
     """Left join to a staged table with one row per key; broadcast only if it is small.
 
     ``at_most`` is a known bound on its bytes, such as the size of a staged table
     that ``table`` is a part of. Without one that settles it, the table is measured.
+    ``heavy`` are heavy keys counted beforehand; with them ``at_most`` is taken as it is.
     """
     limit = broadcast_limit(df.sparkSession)
-    if at_most is None or at_most > limit:
+    if limit >= 0 and (at_most is None or (at_most > limit and heavy is None)):
         at_most = table_bytes(table)
-    if at_most <= limit:
+    if at_most is not None and at_most <= limit:
         return left_join(df, F.broadcast(table), on, null_safe)
-    return keyed_join(df, table, on, null_safe)
+    return keyed_join(df, table, on, null_safe, heavy)
 
 
 def keyed_join(
@@ -63,14 +69,15 @@ def keyed_join(
     table: DataFrame,
     on: Sequence[str],
     null_safe: bool = False,
-    heavy_floor: int = HEAVY_FLOOR,
+    heavy: list[Row] | None = None,
 ) -> DataFrame:
     """Left join to a large table with one row per key, safe against hot keys in ``df``.
 
-    ``df`` is read a second time for its key counts; stage it first if it is
-    expensive to compute.
+    Without ``heavy``, ``df`` is read once more for its key counts; stage it
+    first if it is expensive to compute, or count before a chain of joins with
+    :func:`heavy_keys_of`.
     """
-    keys = heavy_keys(df, on, heavy_floor)
+    keys = heavy_keys(df, on) if heavy is None else heavy
     if not keys:
         return left_join(df, table, on, null_safe)
     spark = df.sparkSession
@@ -93,14 +100,60 @@ def keyed_join(
     return joined.withColumn("_value", chosen).drop(*helpers).select("*", "_value.*").drop("_value")
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], floor: int = HEAVY_FLOOR) -> list[Row]:
-    """Keys holding at least 1/1000 of the rows, hence at most 1000 of them."""
-    total = df.count()
-    bar = max(-(-total // HEAVY_SHARE), floor, 1)
-    if total < bar:
-        return []
-    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") >= bar).select(*on).collect()
+def heavy_keys(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) -> list[Row]:
+    """Keys of more than one row holding at least ``1/share`` of the rows, hence at most ``share`` of them."""
+    return heavy_keys_of(df, [on], share)[0]
+
+
+def heavy_keys_of(df: DataFrame, key_sets: Sequence[Sequence[str]], share: int = HEAVY_SHARE) -> list[list[Row]]:
+    """The heavy keys of several key sets, from one pass over ``df`` with grouping sets.
+
+    The bar follows from the number of rows alone, which the empty grouping set counts.
+    """
+    names = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    copies = {c: f"_k{i}" for i, c in enumerate(names)}
+    narrow = df.select(*[F.col(f"`{c}`").alias(n) for c, n in copies.items()])
+    sets = [[F.col(copies[c]) for c in keys] for keys in key_sets]
+    counted = narrow.groupingSets([*sets, []], *[F.col(n) for n in copies.values()]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")
+    )
+    everything = grouping_mark(names, [])
+    counts = stage(counted, "key_counts")
+    total = counts.filter(F.col("_set") == everything).agg(F.max("_rows")).first()[0] or 0
+    bar = max(2, -(-total // share))
+    found = counts.filter((F.col("_rows") >= bar) & (F.col("_set") != everything)).collect()
+    marks = [grouping_mark(names, keys) for keys in key_sets]
+    return [
+        [Row(*[r[copies[c]] for c in keys]) for r in found if r["_set"] == mark]
+        for keys, mark in zip(key_sets, marks, strict=True)
+    ]
+
+
+def set_sizes(table: DataFrame) -> dict[int, int]:
+    """Unpacked size of every part of a table that is marked by ``_set``, from one aggregate over it."""
+    rows = table.groupBy("_set").agg(*size_columns(table.schema)).collect()
+    return {r["_set"]: size_of(list(r)[1:], len(table.columns)) for r in rows}
+
+
+def lookup_chain(
+    df: DataFrame,
+    tables: Sequence[tuple[DataFrame, Sequence[str], bool]],
+    sizes: Sequence[int],
+) -> DataFrame:
+    """Left join ``df`` to several tables ``(table, keys, null safe)`` of the given sizes, one after the other.
+
+    Heavy keys of all tables that are too large to broadcast are counted once,
+    on ``df`` as it comes in, and not again on the growing chain of joins.
+    """
+    limit = broadcast_limit(df.sparkSession)
+    large = [i for i, size in enumerate(sizes) if size > limit]
+    heavy = dict(zip(large, heavy_keys_of(df, [tables[i][1] for i in large]), strict=True)) if large else {}
+    for i, (table, on, null_safe) in enumerate(tables):
+        if i in heavy:
+            df = keyed_join(df, table, on, null_safe, heavy[i])
+        else:
+            df = left_join(df, F.broadcast(table), on, null_safe)
+    return df
 
 
 def left_join(df: DataFrame, table: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:

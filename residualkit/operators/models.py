@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.scalars import balanced_sum
+from residualkit.operators.folds import checked_fold
 from residualkit.operators.metrics import regression_metrics
 from residualkit.staging import checkpoint_root, stage
 
 FIRST_TREES = 32
+EVALUATION_LOSS = {"mae": "absolute", "mse": "squared", "rmse": "squared"}
 
 
 @dataclass(frozen=True)
@@ -79,10 +81,11 @@ def cross_validate(
 
     The vectors are staged once, in one folder per fold, so that a fold's training
     and validation scans read just their files. ``parallelism`` folds are fitted
-    at a time.
+    at a time. A missing fold, or one that is not between 0 and ``k`` - 1, is an error.
     """
     checkpoint_root(df.sparkSession)
-    vectors = stage(df.select(row_id, fold, label, features), "vectors", partition_by=fold)
+    checked = df.withColumn(fold, checked_fold(fold, k))
+    vectors = stage(checked.select(row_id, fold, label, features), "vectors", partition_by=fold)
     prepared = estimator.copy({estimator.labelCol: label, estimator.featuresCol: features})
 
     def fit(i: int) -> Model:
@@ -182,16 +185,20 @@ def stop_early(model: GBTRegressionModel, holdout: DataFrame, patience: int, met
     improvement. Here all trees are fitted, one pass gives the loss after each of
     them, and the tail is dropped.
     """
-    loss = "absolute" if metric == "mae" else "squared"
+    if metric not in EVALUATION_LOSS:
+        raise ValueError(f"metric {metric} is none of {sorted(EVALUATION_LOSS)}")
+    loss = EVALUATION_LOSS[metric]
     count = best_prefix(model.evaluateEachIteration(holdout, loss), patience)
     if count == model.getNumTrees:
         return model
-    return first_trees(model, count)
+    return first_trees(model, count, holdout.sparkSession.sparkContext)
 
 
-def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+def first_trees(
+    model: GBTRegressionModel, count: int, context: SparkContext | None = None
+) -> GBTRegressionModel:
     """The boosted model made of the first ``count`` trees."""
-    context = SparkContext._active_spark_context
+    context = context or SparkContext.getOrCreate()
     regression = context._jvm.org.apache.spark.ml.regression
     whole = model._java_obj
     trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, count)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from residualkit.functions.names import require
 from residualkit.staging import stage
 
+HEAVY_GROUPS = 200
 _LOCAL_BITS = (1 << 33) - 1
 
 
@@ -74,14 +75,45 @@ def number_and_previous(
     The preceding row counts even where its value is NULL. Rows whose group is
     NULL belong to no group and get NULL.
 
-    Equal to ``row_number`` and ``lag`` over ``partitionBy(group)``, but a group
-    is cut at block edges, so one holding a third of the rows is spread over a
-    third of the blocks.
+    Equal to ``row_number`` and ``lag`` over ``partitionBy(group)``. Groups are
+    counted once. Those holding at least 1/``HEAVY_GROUPS`` of the rows are cut
+    at range-block edges, so one with a third of the rows is spread over a third
+    of the blocks; all others take that window, with one shuffle.
     """
     require(df, order, "an order is needed because rows have none of their own")
+    rows = stage(df, "ordered")
+    counted = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = stage(counted, "group_counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    heavy = counts.filter(F.col("_rows") >= max(2, -(-total // HEAVY_GROUPS))).select(group)
+    if not heavy.head(1):
+        return _by_window(rows, group, order, previous, number)
+    hot = F.broadcast(heavy)
+    cold = _by_window(rows.join(hot, group, "left_anti").select(*df.columns), group, order, previous, number)
+    return cold.unionByName(_by_blocks(rows.join(hot, group, "left_semi").select(*df.columns), group, order, previous, number))
+
+
+def _by_window(
+    rows: DataFrame, group: str, order: Sequence[str], previous: Mapping[str, str], number: str
+) -> DataFrame:
+    """Number and previous values by a window over each group; none for rows without a group."""
+    # Rows without a group are windows of their own, so that they do not meet in one task.
+    alone = F.when(F.col(group).isNull(), F.struct(*[F.col(c) for c in order]))
+    in_group = Window.partitionBy(group, alone).orderBy(*order)
+    known = F.col(group).isNotNull()
+    return rows.select(
+        *rows.columns,
+        F.when(known, F.row_number().over(in_group)).cast("long").alias(number),
+        *[F.when(known, F.lag(source).over(in_group)).alias(name) for name, source in previous.items()],
+    )
+
+
+def _by_blocks(
+    df: DataFrame, group: str, order: Sequence[str], previous: Mapping[str, str], number: str
+) -> DataFrame:
+    """The same for groups of any size, by range blocks."""
     values = F.struct(*[F.col(source).alias(name) for name, source in previous.items()])
-    staged = ordered_blocks(df, [group, *order])
-    blocks = staged.filter(F.col(group).isNotNull())
+    blocks = ordered_blocks(df, [group, *order])
     within = Window.partitionBy("_block", group).orderBy("_place")
     local = blocks.select(
         *df.columns,
@@ -103,13 +135,11 @@ def number_and_previous(
     joined = local.join(F.broadcast(carried), ["_block", group], "left")
     before = F.when(F.col("_local") == 1, F.col("_carried")).otherwise(F.col("_before"))
     place = (F.col("_local") + F.coalesce(F.col("_carried_rows"), F.lit(0))).cast("long")
-    numbered = joined.select(
+    return joined.select(
         *df.columns,
         place.alias(number),
         *[before[name].alias(name) for name in previous],
     )
-    ungrouped = staged.filter(F.col(group).isNull()).select(*df.columns)
-    return numbered.unionByName(ungrouped, allowMissingColumns=True)
 
 
 def _edge_groups(blocks: DataFrame, group: str, values: Column) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import balanced_sum
-from residualkit.operators.lookup import lookup_join
+from residualkit.operators.folds import checked_fold
+from residualkit.operators.lookup import lookup_chain
 from residualkit.staging import stage_measured
 
 
@@ -27,6 +28,7 @@ class TargetEncoding:
     table: DataFrame
     table_size: int
     global_mean: float | None
+    folds: int
 
     @property
     def composite(self) -> bool:
@@ -34,14 +36,29 @@ class TargetEncoding:
 
     def apply_train(self, df: DataFrame, fold: str) -> DataFrame:
         """Mean target of the category in the other folds; NULL if it is only in this one."""
-        joined = lookup_join(df, self.table.drop("_mean"), self.keys, null_safe=self.composite, at_most=self.table_size)
-        return joined.withColumn(self.name, F.get(F.col("_others"), F.col(fold))).drop("_others")
+        return apply_encodings(df, [self], fold)
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Mean target of the category over all training rows, else the global mean."""
-        joined = lookup_join(df, self.table.drop("_others"), self.keys, null_safe=self.composite, at_most=self.table_size)
-        fallback = F.lit(self.global_mean).cast("double")
-        return joined.withColumn(self.name, F.coalesce(F.col("_mean"), fallback)).drop("_mean")
+        return apply_encodings(df, [self])
+
+
+def apply_encodings(df: DataFrame, encodings: Sequence[TargetEncoding], fold: str | None = None) -> DataFrame:
+    """Add several encodings: for ``fold``, the means over the other folds; without it, those over all rows.
+
+    If the encodings are too large to broadcast, heavy keys of all of them are
+    counted in one pass over ``df``.
+    """
+    tables, values = [], {}
+    for i, e in enumerate(encodings):
+        own = f"_enc_{i}"
+        tables.append((e.table.select(*e.keys, F.col("_mean" if fold is None else "_others").alias(own)), e.keys, e.composite))
+        if fold is None:
+            values[e.name] = F.coalesce(F.col(own), F.lit(e.global_mean).cast("double"))
+        else:
+            values[e.name] = F.get(F.col(own), checked_fold(fold, e.folds))
+    joined = lookup_chain(df, tables, [e.table_size for e in encodings])
+    return joined.withColumns(values).drop(*[f"_enc_{i}" for i in range(len(encodings))])
 
 
 def fit_target_encodings(
@@ -51,15 +68,19 @@ def fit_target_encodings(
 
     Rows are reduced to sums and counts per category and fold before the
     shuffle, so a hot category costs no more than any other. A fold's mean adds
-    up the other folds; nothing of its own rows enters it.
+    up the other folds; nothing of its own rows enters it. A missing fold, or
+    one that is not between 0 and ``k`` - 1, is an error at run time: its rows would be
+    in no mean.
     """
     sets = [(s,) if isinstance(s, str) else tuple(s) for s in key_sets]
     keys = list(dict.fromkeys(c for s in sets for c in s))
     value = F.col(target).cast("double")
+    train = train.withColumn(fold, checked_fold(fold, k))
     sums = [F.sum(F.when(F.col(fold) == i, value)).alias(f"_s{i}") for i in range(k)]
     counts = [F.count(F.when(F.col(fold) == i, value)).alias(f"_n{i}") for i in range(k)]
-    parts = train.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
-        F.grouping_id().alias("_set"), *sums, *counts
+    grouping = [*[[F.col(c) for c in s] for s in sets], []]
+    parts = train.groupingSets(grouping, *[F.col(c) for c in keys]).agg(
+        F.grouping_id().alias("_set"), F.avg(value).alias("_mean"), *sums, *counts
     )
 
     def mean_of(folds: list[int]):
@@ -70,11 +91,12 @@ def fit_target_encodings(
     means = parts.select(
         "_set",
         *keys,
-        mean_of(everything).alias("_mean"),
+        "_mean",
         F.array(*[mean_of([j for j in everything if j != i]) for i in everything]).alias("_others"),
     )
     staged, size = stage_measured(means, "encodings", partition_by="_set")
-    overall = train.agg(F.avg(value)).first()[0]
+    whole = staged.filter(F.col("_set") == grouping_mark(keys, [])).select("_mean").first()
+    overall = whole["_mean"] if whole else None
 
     encodings = []
     for s in sets:
@@ -82,5 +104,5 @@ def fit_target_encodings(
         if len(s) == 1:
             rows = rows.filter(F.col(s[0]).isNotNull())
         name = "_".join([*s, target, "enc"])
-        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), size, overall))
+        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), size, overall, k))
     return encodings

@@ -12,6 +12,7 @@ add numbers in different orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.regression import LinearRegression
@@ -35,6 +36,7 @@ from residualkit.functions.scalars import (
     round_half_even,
     winsorize,
 )
+from residualkit.jobs import SourceFiles, prepare
 from residualkit.operators.categories import fit_labels, fit_rare
 from residualkit.operators.folds import contiguous_folds, group_folds, shuffled_folds
 from residualkit.operators.group_stats import fit_group_stats
@@ -74,7 +76,7 @@ from residualkit.operators.snapshots import (
     stack_snapshots,
     union_by_name,
 )
-from residualkit.operators.target_encoding import fit_target_encodings
+from residualkit.operators.target_encoding import apply_encodings, fit_target_encodings
 from residualkit.plans.features import FeatureFrames, FeatureSpec, build_features
 from residualkit.plans.scoring import forecast, horizon_rows, submission
 from residualkit.plans.training import Trained, train
@@ -85,6 +87,7 @@ from residualkit.staging import stage, staged_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 BASE_YEAR = 1995
+PERIODS = ("199710", "199711", "199712", "199810", "199811", "199812")
 HORIZONS = (34, 35, 36, 46, 47, 48)
 ORDER = ("dt", "row_key")
 DIGITS = 6
@@ -169,7 +172,7 @@ def segmented_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").alias("nation"),
         F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"),
     )
-    return attach_properties(sales(spark, sf_dir), customer, ["parcel"])
+    return attach_properties(stage(sales(spark, sf_dir), "sales"), customer, ["parcel"])
 
 
 # Scalars, projections, schema helpers
@@ -332,6 +335,14 @@ def group_stats_pair(spark, sf_dir):
     return _group_stats(spark, sf_dir, [["p_brand", "p_type"]])
 
 
+def group_stats_shuffled(spark, sf_dir):
+    """The same statistics attached as if they were too large to broadcast: salted heavy keys, shuffled others."""
+    part = table(spark, sf_dir, "part").withColumn("size", F.when(F.col("p_size") > 5, F.col("p_size").cast("double")))
+    frame = stage(part.select("p_partkey", "p_brand", "p_type", "p_retailprice", "size"), "parts")
+    stats = fit_group_stats(frame, [["p_brand"], ["p_type"]], ["p_retailprice", "size"])
+    return _rounded(stats.apply(frame, shuffle=True))
+
+
 def group_stats_by_year(spark, sf_dir):
     """Statistics of the property list of each year, joined to that year's properties."""
     rows = stack_snapshots(aligned(spark, sf_dir), "parcelid", "_2", (1998, 1999), "snapshot_year")
@@ -367,6 +378,33 @@ def grouped(spark, sf_dir):
     return group_folds(sales(spark, sf_dir).select("row_key", "parcel"), "parcel", 5, seed=7)
 
 
+def _partly_grouped(spark, sf_dir):
+    """Sales of which some have no parcel."""
+    tx = sales(spark, sf_dir).select("row_key", "parcel", "dt", "month_block", "observed")
+    return tx.withColumn("parcel", F.when(F.col("row_key") % 4 != 0, F.col("parcel")))
+
+
+def grouped_missing(spark, sf_dir):
+    return group_folds(_partly_grouped(spark, sf_dir).select("row_key", "parcel"), "parcel", 5, seed=7, row_key="row_key").drop("parcel")
+
+
+def target_encode_group_folds(spark, sf_dir):
+    """Encodings on folds of parcels, with sales that have none."""
+    tx = stage(group_folds(_partly_grouped(spark, sf_dir), "parcel", 5, seed=7, row_key="row_key"), "grouped")
+    encodings = fit_target_encodings(tx, ["month_block"], "observed", "fold", 5)
+    both = apply_encodings(apply_encodings(tx, encodings, "fold").withColumnRenamed(encodings[0].name, "others"), encodings)
+    return _rounded(both.select("row_key", "fold", "others", F.col(encodings[0].name).alias("everyone")))
+
+
+def cv_group_oof(spark, sf_dir):
+    """Out-of-fold predictions with whole parcels in one fold, and sales that have no parcel."""
+    tx = group_folds(_partly_grouped(spark, sf_dir), "parcel", 5, seed=7, row_key="row_key").filter(F.col("observed").isNotNull())
+    frame = stage(tx.withColumn("month_block", F.col("month_block").cast("double")), "grouped")
+    prep = fit_vector_prep(frame, ["month_block"])
+    found = cross_validate(prep.apply(frame), LinearRegression(solver="normal"), 5, "observed", "row_key")
+    return _rounded(found.oof.select("row_key", "fold", "prediction"))
+
+
 def _encodings(spark, sf_dir):
     tx = contiguous_folds(stage(segmented_sales(spark, sf_dir), "segmented"), 5, ORDER)
     return tx, fit_target_encodings(tx, [("nation", "segment"), "segment"], "observed", "fold", 5)
@@ -422,6 +460,18 @@ def asof_history_by_month(spark, sf_dir):
     return _rounded(wide, sparse=MONTHLY_GAPS)
 
 
+def horizon_rows_monthly(spark, sf_dir):
+    """Scoring rows of which every month takes its own history columns."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("parcel"))
+    horizons = {1997: {10: 34, 11: 35, 12: 36}, 1998: {10: 46, 11: 47, 12: 48}}
+    wide = asof_history_wide(keys, sales(spark, sf_dir), "parcel", horizons, ORDER, "snapshot_year", target="observed")
+    wide = stage(wide, "wide")
+    frames = [
+        horizon_rows(wide.filter(F.col("snapshot_year") == y).drop("snapshot_year"), y, (10, 11, 12), BASE_YEAR) for y in horizons
+    ]
+    return _rounded(union_by_name(frames), sparse=GAPS)
+
+
 def repeat_pairs(spark, sf_dir):
     return _rounded(repeat_sale_pairs(sales(spark, sf_dir), "parcel", ORDER, target="observed"))
 
@@ -496,14 +546,18 @@ def _feature_correlations(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     names = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_suppkey", "l_partkey"]
     folded = group_folds(lines, "l_orderkey", 5, seed=1)
-    frames = [
-        folded.filter(F.col("fold") != i)
-        .agg(*[F.abs(F.corr(F.col(c).cast("double"), "l_extendedprice")).alias(c) for c in names])
-        .unpivot([], names, "feature", "importance")
-        .withColumn("fold", F.lit(i))
+
+    def outside(i: int, c: str) -> Column:
+        """Absolute correlation over all folds but one."""
+        return F.abs(F.corr(F.when(F.col("fold") != i, F.col(c).cast("double")), F.col("l_extendedprice").cast("double")))
+
+    found = folded.agg(*[outside(i, c).alias(f"{c}_{i}") for i in range(5) for c in names])
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"{c}_{i}").alias("importance"), F.lit(i).alias("fold"))
         for i in range(5)
+        for c in names
     ]
-    return union_by_name(frames)
+    return found.select(F.inline(F.array(*rows)))
 
 
 def mean_importance_query(spark, sf_dir):
@@ -582,20 +636,22 @@ def submission_query(spark, sf_dir):
     monthly = tx.groupBy("parcel", F.concat_ws("", "year", F.lpad(F.col("month").cast("string"), 2, "0")).alias("yyyymm")).agg(
         F.avg("logerror").alias("prediction")
     )
-    return submission(monthly, "parcel", ["199710", "199711", "199712", "199810", "199811", "199812"])
+    predictions = monthly.withColumn("prediction", F.when(F.col("yyyymm").isin(*PERIODS), F.col("prediction")))
+    asked = predictions.withColumn("yyyymm", F.when(F.col("yyyymm").isin(*PERIODS), F.col("yyyymm")).otherwise(PERIODS[0]))
+    return submission(asked, "parcel", PERIODS)
 
 
 def submission_csv(spark, sf_dir):
     """The same, written as CSV and read back."""
-    path = write_submission(submission_query(spark, sf_dir), staged_folder(spark), "mean", 0)
-    periods = ["199710", "199711", "199712", "199810", "199811", "199812"]
-    schema = "parcel long, " + ", ".join(f"`{p}` double" for p in periods)
+    folder = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
+    path = write_submission(submission_query(spark, sf_dir), folder, "mean", 0)
+    schema = "parcel long, " + ", ".join(f"`{p}` double" for p in PERIODS)
     return read_table(spark, path, schema, format="csv")
 
 
 def features_round_trip(spark, sf_dir):
     """A feature table written by year and read back one year at a time."""
-    path = f"{staged_folder(spark)}/round_trip"
+    path = f"{staged_folder(spark)}/round_trip-{uuid.uuid4().hex}"
     write_table(stacked_snapshots(spark, sf_dir), path, ("snapshot_year",))
     years = [read_table(spark, path).filter(F.col("snapshot_year") == y) for y in (1998, 1999)]
     return union_by_name(years).withColumn("snapshot_year", F.col("snapshot_year").cast("int"))
@@ -609,6 +665,12 @@ def _spec() -> FeatureSpec:
 
 
 def _features(spark, sf_dir) -> FeatureFrames:
+    snapshots, yearly, template = _feature_sources(spark, sf_dir)
+    return build_features(snapshots, yearly, template, _spec())
+
+
+def _feature_sources(spark, sf_dir) -> tuple[dict[int, DataFrame], dict[int, DataFrame], DataFrame]:
+    """Property lists and sales by year, and the scoring template."""
     customer = table(spark, sf_dir, "customer")
     region = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     listed = attach_properties(customer, region, ["c_nationkey"])
@@ -639,12 +701,21 @@ def _features(spark, sf_dir) -> FeatureFrames:
         "year",
     )
     template = customer.select(F.col("c_custkey").alias("ParcelId"))
-    return build_features(
-        {1998: first, 1999: second},
-        {1998: tx.filter(F.col("year") <= 1998).drop("year"), 1999: tx.filter(F.col("year") > 1998).drop("year")},
-        template,
-        _spec(),
-    )
+    yearly = {1998: tx.filter(F.col("year") <= 1998).drop("year"), 1999: tx.filter(F.col("year") > 1998).drop("year")}
+    return {1998: first, 1999: second}, yearly, template
+
+
+def job_from_csv(spark, sf_dir):
+    """The feature job from CSV files: written from the tables, prepared, and the training table read back."""
+    folder = f"{staged_folder(spark)}/job-{uuid.uuid4().hex}"
+    snapshots, yearly, template = _feature_sources(spark, sf_dir)
+    files = {"sample_submission.csv": template}
+    files |= {f"properties_{y}.csv": frame for y, frame in snapshots.items()}
+    files |= {f"train_{y}.csv": frame for y, frame in yearly.items()}
+    for name, frame in files.items():
+        frame.write.option("header", True).csv(f"{folder}/{name}")
+    prepare(spark, folder, f"{folder}/tables", _spec(), SourceFiles(schemas={n: f.schema for n, f in files.items()}))
+    return _rounded(read_table(spark, f"{folder}/tables/train"), sparse=GAPS)
 
 
 def features_train(spark, sf_dir):
@@ -728,18 +799,23 @@ QUERIES: dict[str, Query] = {
     "label_encode_names": label_encode_names,
     "group_stats_single": group_stats_single,
     "group_stats_pair": group_stats_pair,
+    "group_stats_shuffled": group_stats_shuffled,
     "group_stats_by_year": group_stats_by_year,
     "group_stats_for_sales": group_stats_for_sales,
     "contiguous_folds": contiguous,
     "shuffled_folds": shuffled,
     "shuffled_folds_exact": shuffled_exact,
     "group_folds": grouped,
+    "group_folds_missing": grouped_missing,
+    "target_encode_group_folds": target_encode_group_folds,
+    "cv_group_oof": cv_group_oof,
     "target_encode_oof": target_encode_oof,
     "target_encode_region": target_encode_region,
     "target_encode_apply": target_encode_apply,
     "sale_history": sale_history_query,
     "asof_history": asof_history_query,
     "asof_history_by_month": asof_history_by_month,
+    "horizon_rows_monthly": horizon_rows_monthly,
     "repeat_sale_pairs": repeat_pairs,
     "sales_of_repeat_keys": repeat_sales,
     "dedup_within_31_days": dedup_within_31_days,
@@ -764,6 +840,7 @@ QUERIES: dict[str, Query] = {
     "features_round_trip": features_round_trip,
     "features_train": features_train,
     "features_score": features_score,
+    "job_from_csv": job_from_csv,
     "cv_gbt_metrics": cv_gbt_metrics,
     "feature_importance": gbt_importance,
     "gbt_submission": gbt_submission,

@@ -22,7 +22,7 @@ from residualkit.operators.snapshots import (
     stack_snapshots,
     union_by_name,
 )
-from residualkit.operators.target_encoding import fit_target_encodings
+from residualkit.operators.target_encoding import apply_encodings, fit_target_encodings
 from residualkit.sources.tables import bool_to_text
 from residualkit.staging import stage
 
@@ -143,7 +143,7 @@ def build_features(
     properties = clean_properties(snapshots, spec)
 
     order = ["_date", spec.row_id]
-    tx = contiguous_folds(narrow_sales(sales, spec), spec.encoding_folds, order)
+    tx = contiguous_folds(stage(narrow_sales(sales, spec), "narrow_sales"), spec.encoding_folds, order)
     tx = sale_history(tx, spec.score_key, order, "month_block", spec.target, number="_number")
     tx = stage(tx, "sales")
 
@@ -158,7 +158,7 @@ def build_features(
     )
     on = [spec.score_key, "snapshot_year"]
     # Scoring keys are unique, so no key can be hot; sales repeat theirs.
-    score = stage(left_join(history, properties, on), "score")
+    score = stage(left_join(history, properties, on), "score", partition_by="snapshot_year")
     train = attach_properties(tx.drop("_number"), properties, on)
 
     labels = fit_labels([score], text_columns(properties))
@@ -177,8 +177,8 @@ def build_features(
         counted = [c for c in frame.columns if c not in uncounted]
         frames.append(frame.withColumn("num_of_nan", null_count(counted)))
     train, score = frames
-    for encoding in encodings:
-        train, score = encoding.apply_train(train, "fold"), encoding.apply(score)
+    if encodings:
+        train, score = apply_encodings(train, encodings, "fold"), apply_encodings(score, encodings)
 
     train = train.drop("_date", "fold", "snapshot_year")
     return FeatureFrames(move_to_end(train, ["year", "month", "month_block"]), score)

@@ -61,6 +61,16 @@ folded as (
 )"""
 )
 
+PARTLY_GROUPED = (
+    TX
+    + """,
+grouped as (
+  select row_key, month_block, observed,
+         cast(cast('0x' || substr(md5((case when row_key % 4 <> 0 then parcel else row_key end) || '_7'), 1, 8) as bigint) % 5 as int) as fold
+  from tx
+)"""
+)
+
 PART = """
 parts as (
   select p_partkey, p_brand, p_type, p_retailprice,
@@ -473,6 +483,7 @@ ORACLE_SQL: dict[str, str] = {
         cast(dense_rank() over (order by p_type) - 1 as int) as p_type from part""",
     "group_stats_single": _part_stats("p_brand", "p_type"),
     "group_stats_pair": _part_stats("p_brand, p_type"),
+    "group_stats_shuffled": _part_stats("p_brand", "p_type"),
     "group_stats_by_year": f"""with {SNAPSHOTS}
         select parcelid, snapshot_year, cast(regionid as double) as regionid, round(balancecnt, 6) as balancecnt, usecode, {
         ", ".join(_stat_columns(k, "balancecnt", "snapshot_year") for k in ("regionid", "usecode", "regionid, usecode"))
@@ -491,6 +502,17 @@ ORACLE_SQL: dict[str, str] = {
         cast(ntile(7) over (order by md5(o_orderkey || '_42'), o_orderkey) - 1 as int) as fold from orders""",
     "group_folds": """select o_orderkey as row_key, o_custkey as parcel,
         cast(cast('0x' || substr(md5(o_custkey || '_7'), 1, 8) as bigint) % 5 as int) as fold from orders""",
+    "group_folds_missing": f"""with {PARTLY_GROUPED} select row_key, fold from grouped""",
+    "target_encode_group_folds": f"""with {PARTLY_GROUPED}
+        select row_key, fold,
+               round((select avg(o.observed) from grouped o where o.fold <> g.fold and o.month_block = g.month_block), 6) as others,
+               round(coalesce(avg(observed) over (partition by month_block), avg(observed) over ()), 6) as everyone
+        from grouped g""",
+    "cv_group_oof": f"""with {PARTLY_GROUPED},
+        known as (select * from grouped where observed is not null),
+        fits as (select f.fold, regr_slope(observed, month_block) as slope, regr_intercept(observed, month_block) as base
+                 from known k join (select distinct fold from known) f on k.fold <> f.fold group by f.fold)
+        select row_key, k.fold, round(base + slope * month_block, 6) as prediction from known k join fits f on f.fold = k.fold""",
     "target_encode_oof": f"""with {SEGMENTED}
         select row_key, fold,
                round((select avg(o.observed) from folded o where o.fold <> f.fold and o.nation is not distinct from f.nation
@@ -526,6 +548,12 @@ ORACLE_SQL: dict[str, str] = {
         select parcel, horizon, cast(prev_month as double) as prev_month, round(prev_logerror, 6) as prev_logerror,
                cast(month_interval as double) as month_interval, has_history
         from known""",
+    "horizon_rows_monthly": f"""with {KNOWN}
+        select parcel, cast(1995 + (horizon - 1) // 12 as int) as year, cast((horizon - 1) % 12 + 1 as int) as month,
+               cast(horizon as int) as month_block,
+               (1995 + (horizon - 1) // 12) || lpad(cast((horizon - 1) % 12 + 1 as varchar), 2, '0') as yyyymm,
+               cast(prev_month as double) as prev_month, round(prev_logerror, 6) as prev_logerror,
+               cast(month_interval as double) as month_interval, has_history from known""",
     "asof_history_by_month": f"""with {KNOWN}
         select parcel, 1997 + (horizon - 34) // 12 as snapshot_year, {
         ", ".join(
@@ -619,4 +647,5 @@ ORACLE_SQL: dict[str, str] = {
         select parcelid, snapshot_year, cast(regionid as double) as regionid, round(balancecnt, 6) as balancecnt, usecode from stacked""",
     "features_train": FEATURES_TRAIN,
     "features_score": FEATURES_SCORE,
+    "job_from_csv": FEATURES_TRAIN,
 }

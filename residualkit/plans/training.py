@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,8 @@ OBJECTIVES = {
     "l2": "squared",
     "regression": "squared",
 }
+# Entries that change nothing in what is learned here.
+WITHOUT_EFFECT = ("verbosity", "verbose", "silent", "metric", "eval_metric", "n_jobs", "nthread", "num_threads", "device")
 BOOSTERS = ("gbt", "lgb", "xgb", "cat")
 
 
@@ -66,9 +69,13 @@ def estimator_for(config: TrainConfig) -> Estimator:
     for name, value in config.model_params.items():
         if name in ("objective", "lossType"):
             params["lossType"] = OBJECTIVES.get(str(value), value)
-        else:
-            name = PARAMETER_NAMES.get(name, name)
-            params[name] = str(value) if name == "featureSubsetStrategy" else value
+        elif name not in WITHOUT_EFFECT:
+            spark_name = PARAMETER_NAMES.get(name, name)
+            if not GBTRegressor().hasParam(spark_name):
+                raise ValueError(f"parameter {name} has no counterpart in Spark's boosted trees")
+            if spark_name == "maxDepth" and int(value) < 0:
+                raise ValueError(f"{name}={value}: Spark's trees need a depth limit of 0 to 30")
+            params[spark_name] = str(value) if spark_name == "featureSubsetStrategy" else value
     return boosted_trees(params, config.n_estimators, config.seed)
 
 
@@ -94,7 +101,7 @@ def train(
     if groups is None:
         folded = shuffled_folds(chosen, row_id, config.n_splits, config.seed)
     else:
-        folded = group_folds(chosen, groups, config.n_splits, config.seed)
+        folded = group_folds(chosen, groups, config.n_splits, config.seed, row_key=row_id)
     prep = fit_vector_prep(folded, config.features, flag_missing)
     result = cross_validate(
         prep.apply(folded),

@@ -6,6 +6,8 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class TrainConfig:
@@ -29,6 +31,7 @@ def parse_config(text: str) -> TrainConfig:
     return TrainConfig(**{**values, "features": tuple(values["features"])})
 
 
-def read_config(path: str) -> TrainConfig:
-    with open(path, encoding="utf-8") as handle:
-        return parse_config(handle.read())
+def read_config(path: str, spark: SparkSession | None = None) -> TrainConfig:
+    """Read a configuration from wherever Spark reads from."""
+    session = spark or SparkSession.active()
+    return parse_config(session.read.text(path, wholetext=True).first()[0])

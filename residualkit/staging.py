@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,15 +36,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="residualkit-")
     context.setCheckpointDir(root)
     return context.getCheckpointDir().rstrip("/")
 
 
+_scope: ContextVar[str] = ContextVar("staging_scope", default="")
+
+
 def staged_folder(spark: SparkSession) -> str:
-    return f"{checkpoint_root(spark)}/residualkit/{spark.sparkContext.applicationId}"
+    return f"{checkpoint_root(spark)}/residualkit/{spark.sparkContext.applicationId}{_scope.get()}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, and only they. Write all results before it ends."""
+    token = _scope.set(f"{_scope.get()}/scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_staged(spark)
+        _scope.reset(token)
 
 
 def size_columns(schema: T.StructType) -> list[Column]:
@@ -87,7 +103,7 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
 
 
 def clear_staged(spark: SparkSession) -> bool:
-    """Delete what this application staged. Call once its results are written."""
+    """Delete what this application, or the current scope, staged. Call once its results are written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(staged_folder(spark))
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return system.delete(folder, True)

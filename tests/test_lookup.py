@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import no_broadcast, rows, settings
+from pyspark.sql import functions as F
 
 from residualkit.operators import lookup
 
@@ -24,9 +25,19 @@ def test_broadcast_limit_units(spark):
 
 def test_heavy_keys_are_those_with_a_share(skewed):
     left, _ = skewed
-    heavy = lookup.heavy_keys(left, ["k"], floor=100)
-    assert {r["k"] for r in heavy} == {1, None}
-    assert lookup.heavy_keys(left, ["k"]) == []
+    heavy = lookup.heavy_keys(left, ["k"], share=9)
+    assert {r[0] for r in heavy} == {1, None}
+    assert lookup.heavy_keys(left.select("id"), ["id"]) == []
+    assert lookup.heavy_keys(left.limit(0), ["k"]) == []
+
+
+def test_heavy_keys_of_several_sets_come_from_one_pass(spark, skewed):
+    left, _ = skewed
+    both = left.withColumn("p", F.col("id") % 2)
+    single, pair, other = lookup.heavy_keys_of(both, [["k"], ["k", "p"], ["id"]], share=9)
+    assert {tuple(r) for r in single} == {(1,), (None,)}
+    assert {tuple(r) for r in pair} == {(1, 0), (1, 1), (None, 0), (None, 1)}
+    assert other == []
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
@@ -36,7 +47,7 @@ def test_salted_join_equals_plain_join(spark, skewed, null_safe):
         right = right.union(spark.createDataFrame([(None, "none", 0.0)], right.schema))
     plain = lookup.left_join(left, right, ["k"], null_safe)
     with no_broadcast(spark):
-        salted = lookup.keyed_join(left, right, ["k"], null_safe, heavy_floor=100)
+        salted = lookup.keyed_join(left, right, ["k"], null_safe)
     assert salted.columns == plain.columns
     assert rows(salted, "id") == rows(plain, "id")
 
@@ -48,7 +59,7 @@ def test_lookup_join_same_result_on_both_ways(spark, skewed):
     with no_broadcast(spark):
         large = lookup.lookup_join(left, right, ["k"])
         plan = large._jdf.queryExecution().executedPlan().toString()
-        assert "Broadcast" not in plan
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
         assert rows(large, "id") == rows(small, "id")
 
 

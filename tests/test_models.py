@@ -151,5 +151,7 @@ def test_submission_joins_by_key(spark):
     b = spark.createDataFrame([(2, "201710", -0.00004)], "k long, yyyymm string, prediction double")
     got = scoring.submission([a, b], "k", ["201610", "201710"])
     assert got.columns == ["k", "201610", "201710"]
-    assert rows(got, "k")[0][:2] == (1, pytest.approx(0.1234)) or rows(got, "k")[0][1] == pytest.approx(0.1235)
+    assert rows(got, "k")[0][:2] == (1, pytest.approx(0.1234, abs=1e-12))
     assert rows(got, "k")[1][1:] == (0.5, 0.0)
+    with pytest.raises(Exception, match="unlisted period: 201710"):
+        scoring.submission([a, b], "k", ["201610"]).collect()

@@ -86,15 +86,38 @@ def test_folds_do_not_depend_on_partitioning(spark, shuffled_sales):
         lambda df: folds.contiguous_folds(df, 4, ["day", "id"]),
         lambda df: folds.shuffled_folds(df, "id", 4, 1),
         lambda df: folds.shuffled_folds(df, "id", 4, 1, exact=True),
-        lambda df: folds.group_folds(df, "k", 4, 1),
+        lambda df: folds.group_folds(df, "k", 4, 1, row_key="id"),
     ):
         a = rows(make(shuffled_sales).select("id", "fold"), "id")
         assert a == rows(make(shuffled_sales.repartition(3)).select("id", "fold"), "id")
-        assert {f for _, f in a} <= {0, 1, 2, 3, None}
+        assert {f for _, f in a} <= {0, 1, 2, 3}
 
 
 def test_exact_shuffle_sizes_and_group_integrity(spark, shuffled_sales):
     exact = folds.shuffled_folds(shuffled_sales, "id", 7, 1, exact=True).groupBy("fold").count().collect()
     assert sorted(r["count"] for r in exact) == [85, 85, 86, 86, 86, 86, 86]
-    spread = folds.group_folds(shuffled_sales, "k", 5, 1).groupBy("k").agg(F.countDistinct("fold").alias("n"))
+    spread = folds.group_folds(shuffled_sales.filter("k is not null"), "k", 5, 1).groupBy("k").agg(F.countDistinct("fold").alias("n"))
     assert spread.agg(F.max("n")).first()[0] == 1
+
+
+def test_rows_without_group_need_a_row_key(spark, shuffled_sales):
+    with pytest.raises(Exception, match="row_key"):
+        folds.group_folds(shuffled_sales, "k", 5, 1).collect()
+    placed = folds.group_folds(shuffled_sales, "k", 5, 1, row_key="id")
+    assert placed.filter("fold is null").count() == 0 and placed.count() == 600
+    assert placed.filter("k is null").select("fold").distinct().count() == 5
+
+
+@pytest.mark.parametrize("fold", ["cast(null as int)", "7", "-1"])
+def test_a_wrong_fold_is_an_error(spark, fold):
+    df = spark.range(4).selectExpr("id", f"if(id = 2, {fold}, 1) as fold")
+    with pytest.raises(Exception, match="fold must be 0 to 2"):
+        df.select(folds.checked_fold("fold", 3)).collect()
+
+
+def test_groups_without_a_heavy_one_take_one_shuffle(spark):
+    df = spark.range(1000).selectExpr("id", "id % 500 as k", "id as day")
+    got = ordering.number_and_previous(df, "k", ["day"], {"before": "id"}, "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "rangepartitioning" not in plan
+    assert rows(got.groupBy("n").count()) == [(1, 500), (2, 500)]
