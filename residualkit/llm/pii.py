@@ -365,6 +365,10 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     Overlapping spans are replaced as one, named after the one that begins
     first. NULL texts stay NULL; all columns keep their names and order.
     """
+    # Inside, columns go by number, so that no name of theirs clashes.
+    originals = docs.columns
+    text_column = f"c{originals.index(text_column)}"
+    docs = docs.toDF(*[f"c{i}" for i in range(len(originals))])
     found = stage(candidates(docs, text_column, text_column, tuple(docs.columns)), "pii_redact")
     model = fit_spans(found)
     spans = F.col("marked")
@@ -388,4 +392,4 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
         lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["pos"] + 1, F.length(text))),
     )
     changed = F.when(F.size(spans) > 0, pieces).otherwise(text).alias(text_column)
-    return marked.select(*[changed if c == text_column else F.col(f"`{c}`") for c in docs.columns])
+    return marked.select(*[changed if c == text_column else F.col(c) for c in docs.columns]).toDF(*originals)
