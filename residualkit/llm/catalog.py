@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from residualkit.llm.alignment import alignment
 from residualkit.llm.ann import nearest
 from residualkit.llm.chat import chat_digests, format_chat, text_part
 from residualkit.llm.embedding_dedup import near_duplicate_vectors
@@ -81,6 +82,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=5)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_toxicity,
         op10_ann,
+        op12_alignment,
     )
 }
 
@@ -218,7 +224,8 @@ def _mix_sql() -> str:
     return rf"""
 with docs as (
   select doc_id, 'domain' || (('0x' || substr(md5(coalesce(source, '')), 1, 1))::int % 3) "domain", coalesce(lang, '') lang,
-    coalesce(source, '') source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::bigint tokens
+    coalesce(source, '') source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::bigint tokens
   from documents
 ), leaves as (
   select "domain", lang, source, sum(tokens)::bigint tokens from docs group by all
