@@ -342,9 +342,13 @@ def _vector(rows: DataFrame, width: int) -> np.ndarray:
     return vector
 
 
+def _written_totals(rows: DataFrame, counts: Counts) -> DataFrame:
+    return stage_python(rows.mapInArrow(partial(_totals, counts=counts), TOTALS), "totals", 512)
+
+
 def with_totals(rows: DataFrame, width: int, pairs_at_most: int = PAIRS_AT_MOST) -> DataFrame:
     """The aligned documents with ``n_best`` and ``count_sum``, from the counts over all of them."""
-    same, pairs = stage(same_counts(rows, width), "same_counts"), stage(pair_counts(rows), "pair_counts")
+    same, pairs = stage_python(same_counts(rows, width), "same_counts", 512), stage_python(pair_counts(rows), "pair_counts", 512)
     every = same.unionByName(pairs.select("a", "n"))
     best = stage(every.groupBy("a").agg(F.max("n").alias("n")), "best_counts")
     vectors = _vector(same, width), _vector(best, width)
@@ -353,8 +357,8 @@ def with_totals(rows: DataFrame, width: int, pairs_at_most: int = PAIRS_AT_MOST)
         a, b, n = (found.column(c).to_numpy() for c in ("a", "b", "n"))
         keys = (a.astype(np.int64) << 32) | b
         order = np.argsort(keys)
-        return rows.mapInArrow(partial(_totals, counts=Counts(*vectors, keys[order], n[order])), TOTALS)
-    by_image = rows.mapInArrow(partial(_totals, counts=Counts(*vectors, None, None)), TOTALS)
+        return _written_totals(rows, Counts(*vectors, keys[order], n[order]))
+    by_image = _written_totals(rows, Counts(*vectors, None, None))
     top = best.withColumnRenamed("n", "top")
     marked = pairs.join(F.broadcast(top), "a").select("a", "b", "n", (F.col("n") == F.col("top")).alias("is_best"))
     zipped = F.explode(F.arrays_zip("a", "b", "times"))
