@@ -12,10 +12,12 @@ from residualkit.llm.ann import nearest
 from residualkit.llm.chat import chat_digests, format_chat, text_part
 from residualkit.llm.embedding_dedup import near_duplicate_vectors
 from residualkit.llm.frames import table
+from residualkit.llm.maxscore import top_products
 from residualkit.llm.minhash import near_duplicates
 from residualkit.llm.mixing import mix
 from residualkit.llm.packing import pack
 from residualkit.llm.pii import personal_data
+from residualkit.llm.presence import ranked
 from residualkit.llm.quality import quality
 from residualkit.llm.toxicity import toxicity
 from residualkit.llm.warc import archive_round_trip
@@ -82,10 +84,18 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=5)
 
 
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"), k=5, scale=256)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,7 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_toxicity,
         op10_ann,
+        op11_maxscore,
         op12_alignment,
+        op13_ranked_search,
     )
 }
 
@@ -162,6 +174,44 @@ with v as ({USABLE.format(extra="")}), scored as (
 select query_id, "rank", vec_id, score from ranked where "rank" <= 5
 """
 
+ORACLE_SQL["op11_maxscore"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int "rank" from scored
+)
+select query_id, "rank", vec_id, score from ranked where "rank" <= 5
+"""
+
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL["op13_ranked_search"] = f"""
+with d as (
+  select row_number() over () r, doc_id, {TERMS} t from documents where text is not null
+), corpus as (
+  select count(*) n, sum(len(t))::hugeint l from d where len(t) > 0
+), tf as (
+  select r, term, count(*) tf from (select r, unnest(t) term from d) group by r, term
+), df as (
+  select term, count(*) df from tf group by term
+), wanted as (
+  select item_id, term, count(*) times from (select item_id, unnest({TERMS}) term from benchmark where text is not null) group by item_id, term
+), weighted as (
+  select item_id, term, times * floor(1000 * ln((2 * n + 2)::double / (2 * df + 1)::double))::bigint w from wanted join df using (term), corpus
+), scored as (
+  select item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * len(d.t) * n) // l)))))::bigint score
+  from weighted join tf using (term) join d using (r), corpus group by item_id, r
+), ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int "rank"
+  from scored join d using (r) where score > 0
+)
+select item_id, "rank", doc_id, score from ranked where "rank" <= 10
+"""
+
 ORACLE_SQL["op4_chat"] = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') "role", coalesce(text, '') text from conversations
