@@ -2,8 +2,8 @@
 
 1. Each text becomes the set of its distinct word shingles and, from it, ``bands
    * rows`` minima of universal hash functions (one pass of Arrow batches).
-2. Texts with equal word sequences are collapsed to the smallest id; only these
-   representatives go on, so a group of exact copies costs one aggregation.
+2. Texts with equal word sequences are collapsed to the smallest id; only its row
+   goes on, so a group of exact copies costs one aggregation. Other rows of the other ids stay.
 3. Texts that agree in a whole band share a bucket. Every bucket compares its members
    with its smallest one: as many pairs as members, however large the bucket.
 4. Pairs are first verified on signatures and then on the full shingle sets;
@@ -86,16 +86,18 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, n: int, seed: int) -> Itera
 
 def _verify(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose full shingle sets are at least ``percent`` per cent alike."""
-    last: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+    empty = np.zeros(0, np.uint64)
+    words, own_set = empty, empty  # of the last left text; equal ones often follow each other
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         left, left_bounds = hashed_runs(*text_buffer(batch.column(2)))
         right, right_bounds = hashed_runs(*text_buffer(batch.column(3)))
         keep = []
         for i in range(len(a)):
-            if last[0] != a[i]:
-                last = (a[i], shingle_set(left[left_bounds[i] : left_bounds[i + 1]], k))
-            x, y = last[1], shingle_set(right[right_bounds[i] : right_bounds[i + 1]], k)
+            own = left[left_bounds[i] : left_bounds[i + 1]]
+            if not np.array_equal(words, own):
+                words, own_set = own, shingle_set(own, k)
+            x, y = own_set, shingle_set(right[right_bounds[i] : right_bounds[i + 1]], k)
             if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                 continue
             common = len(np.intersect1d(x, y, assume_unique=True))
@@ -194,11 +196,11 @@ def near_duplicates(
 
     groups = usable.groupBy("print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = stage(groups.filter("n > 1").select("print", "first"), "copies")
-    alias = stage(
-        usable.select("id", "print").join(copies, "print").filter("id <> first").select("id", "first").distinct(), "alias"
-    )
-    single = usable.select("id", "signature").join(alias.select("id"), "id", "left_anti")
-    leads = stage(single, "signatures")
+    copied = usable.select("id", "print").join(copies, "print").filter("id <> first")
+    alias = stage(copied.select("id", "print", "first").distinct(), "alias")
+    # Only the copied row of an id goes; a row of the same id with another text is a representative like any other.
+    single = usable.select("id", "print", "signature").join(alias.select("id", "print"), ["id", "print"], "left_anti")
+    leads = stage(single.select("id", "signature"), "signatures")
     linked = _links(leads, texts, k, percent, bands, rows)
 
     edges = linked.select("a", "b").unionByName(alias.select(F.col("id").alias("a"), F.col("first").alias("b")))

@@ -53,6 +53,33 @@ def test_documents_equal_brute_force(spark, k):
     assert got == brute_documents(rows, k, 80)
 
 
+def changed(text, at, word):
+    own = text.split()
+    return " ".join([*own[:at], word, *own[at + 1 :]])
+
+
+@pytest.mark.parametrize("copied_id", [10, 70])
+@pytest.mark.parametrize("k", [4, 5])
+def test_a_copied_row_does_not_hide_other_rows_of_its_id(spark, copied_id, k):
+    x, y = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(copied_id, x), (50, x), (50, y), (60, f"{y} more"), (80, "something else altogether here now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, k=k).collect()}
+    assert got == brute_documents(rows, k, 80)
+    assert got[60][1] == got[50][1] == got[copied_id][1] == min(copied_id, 50)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_repeated_ids_with_copies_and_near_copies(spark, seed):
+    random.seed(seed)
+    bases = [" ".join(random.choice("abcdefghij") + str(random.randrange(90)) for _ in range(50)) for _ in range(12)]
+    texts = [t for b in bases for t in (b, changed(b, 0, "new"), changed(b, 49, "end"))]
+    rows = [(random.randrange(30), random.choice(texts)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, k=4).collect()}
+    assert got == brute_documents(rows, 4, 80)
+
+
 def test_documents_without_id_and_no_documents(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
     got = sorted(minhash.near_duplicates(df).collect(), key=str)
