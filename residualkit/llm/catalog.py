@@ -274,8 +274,7 @@ def _mix_sql() -> str:
     return rf"""
 with docs as (
   select doc_id, 'domain' || (('0x' || substr(md5(coalesce(source, '')), 1, 1))::int % 3) "domain", coalesce(lang, '') lang,
-    coalesce(source, '') source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::bigint tokens
+    coalesce(source, '') source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint tokens
   from documents
 ), leaves as (
   select "domain", lang, source, sum(tokens)::bigint tokens from docs group by all

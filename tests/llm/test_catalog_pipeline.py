@@ -3,10 +3,12 @@
 import duckdb
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from residualkit.llm import catalog
 from residualkit.llm.frames import table
+from residualkit.llm.mixing import word_count
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,6 +26,15 @@ def test_query_matches_its_sql(spark, sql, name):
     assert [d for d in found if not d.startswith("type of refers_to")] == []
 
 
+def test_words_of_the_mixture_are_the_same_in_sql(spark):
+    text = " a\tb\nc\x0bd\x0ce\rf  g\u00a0h\x1fi "
+    pattern = catalog.ORACLE_SQL["op2_mix"].split("coalesce(text, ''), '")[1].split("'")[0]
+    assert pattern == r"[^\x20\x09-\x0D]+"
+    counted = duckdb.execute("select len(regexp_extract_all(?, ?))", [text, pattern]).fetchone()[0]
+    row = spark.createDataFrame([(text,)], "text string").select(word_count(F.col("text")).alias("n")).first()
+    assert counted == row.n == 7
+
+
 def test_stages_keep_their_promises(spark):
     docs = table(spark, SMALL, "documents").cache()
     names = [name for name, _ in corpus_pipeline.STAGES]
@@ -51,4 +62,4 @@ def test_entry_lists_all_queries():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
