@@ -1,17 +1,17 @@
 """Exact top-k by integer inner product, with MaxScore over inverted lists.
 
 Components become integer impacts. A term is a dimension with a sign; its inverted list
-holds the vectors of a shard whose component has that sign, largest impact first, so its
-first entry bounds all. For a query, only the terms of its own signs can add to a
-score; each has a score bound, query weight times first impact.
+holds the impacts of a shard's vectors whose component has that sign, and its largest impact bounds all. For a query, only the
+terms of its own signs can add to a score; each has a score bound, query weight times largest impact.
 
 Let a query's *floor* be a score that its k-th result is known to reach. Its terms are ordered by
 bound. The longest tail of the order whose bounds add up to less than the floor is
 non-essential: a vector found in those lists alone cannot get in. So the
-essential lists are traversed and add up partial scores; a vector stays competitive while its
-partial score plus what the open terms can still add reaches the floor. Competitive vectors are probed
-for the other signs and then for the non-essential terms, largest bounds first, and dropped as soon as they
-fall below. Nothing that reaches the floor is ever dropped, so the result is exact.
+essential lists are traversed and add up partial scores, for all queries of a block in one
+product; a vector stays competitive while its partial score plus what the open terms can still
+add reaches the floor. Competitive vectors are probed, largest bounds first, for the other signs and the
+non-essential terms, and dropped as soon as they fall below. Nothing that reaches the floor is ever dropped,
+so the result is exact.
 
 Vectors are dealt into shards, queries into blocks, and both meet slot by slot. A first round,
 in which every query block meets the shards of a single slot, gives the floors; the second
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -54,103 +53,98 @@ def impacts(rows: np.ndarray, scale: int) -> np.ndarray:
         return np.clip(np.floor(scale * rows), -LARGEST, LARGEST).astype(np.int64)
 
 
-class Shard(NamedTuple):
-    """Inverted lists of a block of vectors, end to end; term ``2 * d`` has positive, ``2 * d + 1`` negative components."""
-
-    ids: np.ndarray
-    starts: np.ndarray
-    places: np.ndarray
-    values: np.ndarray
-
-    @classmethod
-    def of(cls, ids: np.ndarray, codes: np.ndarray) -> Shard:
-        dims = codes.shape[1]
-        place, d = np.nonzero(codes)
-        value = codes[place, d]
-        term = 2 * d + (value < 0)
-        order = np.lexsort((place, -np.abs(value), term))
-        starts = np.searchsorted(term[order], np.arange(2 * dims + 1))
-        return cls(ids, starts, place[order].astype(np.int32), np.abs(value[order]))
-
-    def codes(self) -> np.ndarray:
-        """The vectors again, one row each."""
-        dims = (len(self.starts) - 1) // 2
-        term = np.repeat(np.arange(2 * dims), np.diff(self.starts))
-        rows = np.zeros((len(self.ids), dims), np.int64)
-        rows[self.places, term // 2] = np.where(term % 2, -self.values, self.values)
-        return rows
-
-    def bounds(self) -> np.ndarray:
-        """The largest impact of each list, 0 for an empty one."""
-        first = np.minimum(self.starts[:-1], max(0, len(self.values) - 1))
-        filled = self.starts[:-1] < self.starts[1:]
-        return np.where(filled, self.values[first] if len(self.values) else 0, 0)
-
-
-def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` highest scores, equal ones by id."""
-    return np.lexsort((ids, -scores))[:k]
-
-
-class Searcher:
-    """MaxScore over one shard. Scores are whole numbers below 2**53 and thus exact as doubles."""
-
-    def __init__(self, shard: Shard) -> None:
-        self.shard = shard
-        self.whole = shard.codes()
-        self.rows = self.whole.astype(np.float64)
-        self.tops = shard.bounds().astype(np.float64)
-        self.values = shard.values.astype(np.float64)
+class Lists:
+    """The inverted lists of a shard, term by term: impacts of all its vectors for each dimension and sign, 0 where absent.
+
+    Components are of either sign about half of the time, so a list is kept as a dense row.
+    Scores are whole numbers below 2**53 and thus exact as doubles.
+    """
+
+    def __init__(self, ids: np.ndarray, codes: np.ndarray) -> None:
+        self.ids, self.whole = ids, codes
+        self.rows = codes.astype(np.float64)
+        self.impacts = np.concatenate([np.maximum(self.rows, 0), np.maximum(-self.rows, 0)], axis=1).T
+        self.tops = self.impacts.max(axis=1, initial=0)
         self.probed = 0
 
-    def search(self, query: np.ndarray, floor: float, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the ``k`` best that reach ``floor``; ``own`` is the id that does not count."""
-        largest = float(np.abs(query).max(initial=0)) * float(self.tops.max(initial=0)) * max(1, len(query))
+    def search(
+        self, queries: np.ndarray, floors: np.ndarray, own: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score of the ``k`` best vectors of each query that reach its floor, best first.
+
+        ``own`` are the ids that do not count, one for each query.
+        """
+        largest = float(np.abs(queries).max(initial=0)) * float(self.tops.max(initial=0)) * max(1, queries.shape[1])
         if largest >= EXACT:
-            return self._in_full(query, floor, own, k)
-        weight = np.abs(query).astype(np.float64)
-        term = 2 * np.arange(len(query)) + (query < 0)
-        bound = weight * self.tops[term]
-        order = np.argsort(-bound, kind="stable")
-        tail = np.append(np.cumsum(bound[order][::-1])[::-1], 0.0)
-        if tail[0] < floor:
-            return np.zeros(0, np.int64), np.zeros(0)
-        essential = int(np.argmax(tail < floor)) if tail[-1] < floor else len(order)
-        partial_score = np.zeros(len(self.rows))
-        found = np.zeros(len(self.rows), bool) if tail[essential] < floor else np.ones(len(self.rows), bool)
-        for d in order[:essential]:
-            own_list = slice(self.shard.starts[term[d]], self.shard.starts[term[d] + 1])
-            at = self.shard.places[own_list]
-            partial_score[at] += weight[d] * self.values[own_list]
-            found[at] = True
-        found &= self.shard.ids != own
-        at = np.flatnonzero(found & (partial_score + tail[essential] >= floor))
-        most = partial_score[at] + tail[essential]
-        # The other signs of the essential dimensions can only take away.
-        sign = np.sign(query).astype(np.float64) * weight
-        for begin in range(0, len(order), PROBE):
-            if not len(at):
+            return self._in_full(queries, floors, own, k)
+        weights = queries.astype(np.float64)
+        known = floors > NO_FLOOR
+        found = [self._exhaustive(weights, np.flatnonzero(~known), k), self._pruned(weights, floors, np.flatnonzero(known))]
+        query, place, score = (np.concatenate(c) for c in zip(*found, strict=True))
+        keep = self.ids[place] != own[query]
+        query, place, score = query[keep], place[keep], score[keep]
+        order = np.lexsort((self.ids[place], -score, query))
+        query, place, score = query[order], place[order], score[order]
+        best = np.arange(len(query)) - np.searchsorted(query, query, "left") < k
+        return query[best], place[best], score[best]
+
+    def _exhaustive(self, weights: np.ndarray, chosen: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Without a floor all terms are essential and every vector is competitive; its ``k + 1`` best hold the ``k`` others."""
+        score = weights[chosen] @ self.rows.T
+        last = max(0, score.shape[1] - k - 1)
+        query, place = np.nonzero(score >= np.partition(score, last, axis=1)[:, last, None])
+        return chosen[query], place, score[query, place]
+
+    def _pruned(
+        self, weights: np.ndarray, floors: np.ndarray, chosen: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, dims = len(chosen), weights.shape[1]
+        weights, floors = weights[chosen], floors[chosen].astype(np.float64)
+        negative = weights < 0
+        bound = np.abs(weights) * np.where(negative, self.tops[dims:], self.tops[:dims])
+        order = np.argsort(-bound, axis=1, kind="stable")
+        bound = np.take_along_axis(bound, order, axis=1)
+        # tail[i, j]: what the terms from the j-th on can add at most.
+        tail = np.concatenate([np.cumsum(bound[:, ::-1], axis=1)[:, ::-1], np.zeros((n, 1))], axis=1)
+        # How many terms are essential: all of them where no tail stays below the floor.
+        essential = np.where(tail[:, -1] < floors, np.argmax(tail < floors[:, None], axis=1), dims)
+        inside = np.arange(dims)[None, :] < essential[:, None]
+        is_essential = np.zeros((n, dims), bool)
+        np.put_along_axis(is_essential, order, inside, axis=1)
+        traversed = np.abs(weights) * is_essential
+        by_term = np.concatenate([traversed * ~negative, traversed * negative], axis=1)
+        most = by_term @ self.impacts
+        rest = np.take_along_axis(tail, essential[:, None], axis=1)
+        query, place = np.nonzero(most + rest >= floors[:, None])
+        most = most[query, place] + rest[query, 0]
+        signed = np.take_along_axis(weights, order, axis=1)
+        for begin in range(0, dims, PROBE):
+            if not len(query):
                 break
-            dims = order[begin : begin + PROBE]
-            self.probed += len(at)
-            given = self.rows[np.ix_(at, dims)] * sign[dims]
-            inside = np.arange(begin, begin + len(dims)) < essential
-            most += np.where(inside, np.minimum(given, 0), given - bound[dims]).sum(axis=1)
-            keep = most >= floor
-            at, most = at[keep], most[keep]
-        best = best_of(self.shard.ids[at], most, k)
-        return at[best], most[best]
-
-    def _in_full(self, query: np.ndarray, floor: float, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+            part = slice(begin, begin + PROBE)
+            self.probed += len(query)
+            given = self.rows[place[:, None], order[query, part]] * signed[query, part]
+            # The other sign of an essential term can only take away; an open term gives up its bound.
+            most = most + np.where(inside[query, part], np.minimum(given, 0), given - bound[query, part]).sum(axis=1)
+            keep = most >= floors[query]
+            query, place, most = query[keep], place[keep], most[keep]
+        return chosen[query], place, most
+
+    def _in_full(
+        self, queries: np.ndarray, floors: np.ndarray, own: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For impacts so large that doubles would round: whole numbers of any length, saturated to the range of long."""
-        products = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in self.whole.tolist()]
-        scores = np.array([max(-(2**63), min(2**63 - 1, s)) for s in products], object)
-        at = np.array([i for i in range(len(scores)) if self.shard.ids[i] != own and scores[i] >= floor], np.int64)
-        best = sorted(range(len(at)), key=lambda i: (-scores[at[i]], self.shard.ids[at[i]]))[:k]
-        return at[best], scores[at[best]] if len(best) else np.zeros(0)
+        found: list[tuple[int, int, int]] = []
+        for q, query in enumerate(queries.tolist()):
+            products = (sum(a * b for a, b in zip(row, query, strict=True)) for row in self.whole.tolist())
+            scores = [max(-(2**63), min(2**63 - 1, s)) for s in products]
+            at = [i for i, s in enumerate(scores) if self.ids[i] != own[q] and s >= floors[q]]
+            found += [(q, i, scores[i]) for i in sorted(at, key=lambda i: (-scores[i], self.ids[i]))[:k]]
+        columns = zip(*found, strict=True) if found else ((), (), ())
+        return tuple(np.array(c, np.int64) for c in columns)
 
 
-SHARDS = "shard long, dims int, ids binary, starts binary, places binary, impacts binary"
+SHARDS = "shard long, dims int, ids binary, codes binary"
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array]]:
@@ -169,8 +163,7 @@ def _shards(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.Record
     number = TaskContext.get().partitionId() << 36
     for batch in batches:
         for size, at in _by_length(batch):
-            shard = Shard.of(*_coded(batch, at, size, scale))
-            parts = (shard.ids, shard.starts.astype(np.int64), shard.places, shard.values)
+            parts = _coded(batch, at, size, scale)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([size], pa.int32()), *[pa.array([p.tobytes()], pa.binary()) for p in parts]],
                 names=[c.split()[0] for c in SHARDS.split(", ")],
@@ -196,22 +189,18 @@ def _query_blocks(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.
 
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The ``k`` best of a shard for each query of a block, among what reaches the floors."""
-    last, searcher = None, None
+    last, lists = None, None
     for batch in batches:
         for row in batch.to_pylist():
-            if last != row["shard"]:
-                whole = [np.frombuffer(row[c], np.int64) for c in ("ids", "starts", "impacts")]
-                last = row["shard"]
-                searcher = Searcher(Shard(whole[0], whole[1], np.frombuffer(row["places"], np.int32), whole[2]))
-            ids, floors = (np.frombuffer(row[c], np.int64) for c in ("query_ids", "floors"))
-            queries = np.frombuffer(row["queries"], np.int64).reshape(len(ids), row["dims"])
-            found: list[tuple[int, int, int]] = []
-            for query_id, query, floor in zip(ids.tolist(), queries, floors.tolist(), strict=True):
-                at, scores = searcher.search(query, -np.inf if floor == NO_FLOOR else floor, query_id, k)
-                found += [(query_id, int(searcher.shard.ids[i]), int(s)) for i, s in zip(at, scores, strict=True)]
-            columns = zip(*found, strict=True) if found else ((), (), ())
+            ids, codes, query_ids, queries, floors = (
+                np.frombuffer(row[c], np.int64) for c in ("ids", "codes", "query_ids", "queries", "floors")
+            )
+            if lists is None or last != row["shard"]:
+                last, lists = row["shard"], Lists(ids, codes.reshape(len(ids), row["dims"]))
+            query, place, score = lists.search(queries.reshape(len(query_ids), row["dims"]), floors, query_ids, k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
+                [pa.array(query_ids[query]), pa.array(lists.ids[place]), pa.array(score.astype(np.int64))],
+                names=["query_id", "vec_id", "score"],
             )
 
 

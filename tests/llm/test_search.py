@@ -67,17 +67,22 @@ def test_products_beyond_doubles(spark):
     assert top(spark, big) == products(big, 5)
 
 
-def test_shard_gives_its_vectors_back_and_prunes():
+def test_floors_prune_and_lose_nothing():
     rng = np.random.default_rng(5)
     codes = rng.integers(-9, 10, (500, 20)) * 5
-    shard = maxscore.Shard.of(np.arange(500), codes)
-    assert (shard.codes() == codes).all()
-    searcher = maxscore.Searcher(shard)
-    exact = np.sort(codes @ codes[0])[::-1]
-    at, scores = searcher.search(codes[0], float(exact[5]), -1, 5)
-    assert scores.tolist() == exact[:5].tolist()
-    assert searcher.probed < 500 * 3 / 2
-    assert len(searcher.search(codes[0], float(exact[0]) + 1, -1, 5)[0]) == 0
+    codes[100:110] = codes[0]
+    queries, own = codes[:8], np.arange(8)
+    exact = codes @ queries.T
+    lists = maxscore.Lists(np.arange(500), codes)
+    floors = np.array([np.sort(np.delete(exact[:, q], q))[-5] for q in range(8)])
+    query, place, score = lists.search(queries, floors, own, 5)
+    for q in range(8):
+        want = sorted((-exact[i, q], i) for i in range(500) if i != q)[:5]
+        assert list(zip(-score[query == q], place[query == q])) == want
+    assert lists.probed < 8 * 500 * 3 / 2
+    assert len(lists.search(queries, floors + 10**6, own, 5)[0]) == 0
+    assert len(lists.search(queries, np.full(8, maxscore.NO_FLOOR), own, 5)[0]) == 40
+    assert len(lists.search(-np.abs(queries), np.full(8, -(10**6)), own, 5)[0]) == 40
 
 
 TEXTS = "doc_id long, text string, item_id long, score long, terms string"
