@@ -1,17 +1,17 @@
 """Exact top-k by integer inner product, with MaxScore over inverted lists.
 
-Components become integer impacts. A term is a dimension with a sign; its inverted list
-holds the impacts of a shard's vectors whose component has that sign, and its largest impact bounds all. For a query, only the
+Components become integer impacts. A term is a dimension with a sign; the inverted list of a dimension
+holds the impacts of a shard's vectors, and the largest impact of each sign bounds them. For a query, only the
 terms of its own signs can add to a score; each has a score bound, query weight times largest impact.
 
 Let a query's *floor* be a score that its k-th result is known to reach. Its terms are ordered by
-bound. The longest tail of the order whose bounds add up to less than the floor is
-non-essential: a vector found in those lists alone cannot get in. So the
-essential lists are traversed and add up partial scores, for all queries of a block in one
-product; a vector stays competitive while its partial score plus what the open terms can still
-add reaches the floor. Competitive vectors are probed, largest bounds first, for the other signs and the
-non-essential terms, and dropped as soon as they fall below. Nothing that reaches the floor is ever dropped,
-so the result is exact.
+bound. Where the bounds of a tail of the order add up to less than the floor, the tail is
+non-essential: a vector found in those lists alone cannot get in. The terms before it are essential, and their
+lists are traversed for all queries of a block in one product. Since lists are dense, traversing one costs less than
+probing it for many vectors; so lists are traversed until the tail is below ``OPEN`` of the floor, which leaves few
+vectors competitive: those whose score so far plus what the tail can still add reaches the floor. They are probed
+for the other terms, largest bounds first, and dropped as soon as they fall below. Nothing that reaches the floor
+is ever dropped, so the result is exact.
 
 Vectors are dealt into shards, queries into blocks, and both meet slot by slot. A first round,
 in which every query block meets the shards of a single slot, gives the floors; the second
@@ -39,6 +39,7 @@ PROBE = 8
 NO_FLOOR = np.iinfo(np.int64).min
 LARGEST = float(2**63 - 1024)
 EXACT = float(2**53)
+OPEN = 0.25
 
 
 def finite(embedding: Column) -> Column:
@@ -54,17 +55,16 @@ def impacts(rows: np.ndarray, scale: int) -> np.ndarray:
 
 
 class Lists:
-    """The inverted lists of a shard, term by term: impacts of all its vectors for each dimension and sign, 0 where absent.
+    """The inverted lists of a shard: for each dimension the impacts of all its vectors, of both signs, and a bound for each sign.
 
-    Components are of either sign about half of the time, so a list is kept as a dense row.
+    Nearly every vector has an impact in every dimension, so lists are kept dense.
     Scores are whole numbers below 2**53 and thus exact as doubles.
     """
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray) -> None:
         self.ids, self.whole = ids, codes
         self.rows = codes.astype(np.float64)
-        self.impacts = np.concatenate([np.maximum(self.rows, 0), np.maximum(-self.rows, 0)], axis=1).T
-        self.tops = self.impacts.max(axis=1, initial=0)
+        self.tops = np.stack([self.rows.max(axis=0, initial=0), -self.rows.min(axis=0, initial=0)])
         self.probed = 0
 
     def search(
@@ -100,32 +100,30 @@ class Lists:
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n, dims = len(chosen), weights.shape[1]
         weights, floors = weights[chosen], floors[chosen].astype(np.float64)
-        negative = weights < 0
-        bound = np.abs(weights) * np.where(negative, self.tops[dims:], self.tops[:dims])
+        bound = np.abs(weights) * np.where(weights < 0, self.tops[1], self.tops[0])
         order = np.argsort(-bound, axis=1, kind="stable")
         bound = np.take_along_axis(bound, order, axis=1)
         # tail[i, j]: what the terms from the j-th on can add at most.
         tail = np.concatenate([np.cumsum(bound[:, ::-1], axis=1)[:, ::-1], np.zeros((n, 1))], axis=1)
-        # How many terms are essential: all of them where no tail stays below the floor.
-        essential = np.where(tail[:, -1] < floors, np.argmax(tail < floors[:, None], axis=1), dims)
-        inside = np.arange(dims)[None, :] < essential[:, None]
-        is_essential = np.zeros((n, dims), bool)
-        np.put_along_axis(is_essential, order, inside, axis=1)
-        traversed = np.abs(weights) * is_essential
-        by_term = np.concatenate([traversed * ~negative, traversed * negative], axis=1)
-        most = by_term @ self.impacts
-        rest = np.take_along_axis(tail, essential[:, None], axis=1)
-        query, place = np.nonzero(most + rest >= floors[:, None])
-        most = most[query, place] + rest[query, 0]
+        reachable = np.flatnonzero(tail[:, 0] >= floors)
+        # How many terms are traversed: all of them where no tail stays below the floor.
+        below = tail < OPEN * floors[:, None]
+        traversed = np.where(below[:, -1], np.argmax(below, axis=1), dims)
+        inside = np.arange(dims)[None, :] < traversed[:, None]
+        is_traversed = np.zeros((n, dims), bool)
+        np.put_along_axis(is_traversed, order, inside, axis=1)
+        rest = np.take_along_axis(tail, traversed[:, None], axis=1)
+        most = (weights * is_traversed)[reachable] @ self.rows.T + rest[reachable]
+        query, place = np.nonzero(most >= floors[reachable, None])
+        most, query = most[query, place], reachable[query]
         signed = np.take_along_axis(weights, order, axis=1)
-        for begin in range(0, dims, PROBE):
+        for begin in range(int(traversed.min(initial=dims)), dims, PROBE):
             if not len(query):
                 break
             part = slice(begin, begin + PROBE)
             self.probed += len(query)
             given = self.rows[place[:, None], order[query, part]] * signed[query, part]
-            # The other sign of an essential term can only take away; an open term gives up its bound.
-            most = most + np.where(inside[query, part], np.minimum(given, 0), given - bound[query, part]).sum(axis=1)
+            most = most + np.where(inside[query, part], 0, given - bound[query, part]).sum(axis=1)
             keep = most >= floors[query]
             query, place, most = query[keep], place[keep], most[keep]
         return chosen[query], place, most
