@@ -37,6 +37,7 @@ from residualkit.functions.scalars import (
     winsorize,
 )
 from residualkit.jobs import SourceFiles, prepare
+from residualkit.operators.boosting import Boosting, MedianBoostedTrees, leaf_rows, loss_rows
 from residualkit.operators.categories import fit_labels, fit_rare
 from residualkit.operators.folds import contiguous_folds, group_folds, shuffled_folds
 from residualkit.operators.group_stats import fit_group_stats
@@ -68,6 +69,7 @@ from residualkit.operators.profile import (
     target_profile,
     trim,
 )
+from residualkit.operators.quantiles import quantile_profile, trim_to_quantiles
 from residualkit.operators.snapshots import (
     align_snapshots,
     attach_properties,
@@ -93,6 +95,8 @@ ORDER = ("dt", "row_key")
 DIGITS = 6
 REGIONS = ("regionid", "regionid_2")
 GAPS = ("prev_month", "month_interval")
+#: Groups above this size are bracketed before they are ordered; small here, so that the supplied tables take that way.
+QUANTILE_ROWS = 4096
 MONTHLY_GAPS = tuple(f"{c}_{m}" for c in GAPS for m in (10, 11, 12))
 
 
@@ -318,6 +322,21 @@ def label_encode_names(spark, sf_dir):
     return codes.apply(part.select("p_partkey", "p_name", "p_type"))
 
 
+# Quantiles
+
+
+def target_quantiles(spark, sf_dir):
+    """Exact quantiles of the target by year."""
+    tx = sales(spark, sf_dir).select("year", "observed")
+    return _rounded(quantile_profile(tx, "observed", (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99), ["year"], rows_at_most=QUANTILE_ROWS))
+
+
+def trim_quantiles(spark, sf_dir):
+    """Line prices between the 1st and the 99th percentile of their return flag."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return _rounded(trim_to_quantiles(lines, "l_extendedprice", 0.01, 0.99, ["l_returnflag"], rows_at_most=QUANTILE_ROWS))
+
+
 # Statistics
 
 
@@ -596,6 +615,33 @@ def ensemble_linear(spark, sf_dir):
     return _rounded(ensemble_predict(prep.apply(frame), result.models).select("l_orderkey", "prediction"))
 
 
+def _median_boosting(spark, sf_dir) -> tuple[DataFrame, Boosting]:
+    """Prices by two yes-no features: every tree has a leaf for each of the four cells. Two rounds, then two more."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"), (F.sum("l_extendedprice") / 1e5).alias("price")
+    )
+    cells = lines.select(
+        "l_orderkey", (F.col("quantity") > 100).cast("double").alias("much"), (F.col("lines") > 4).cast("double").alias("many"), "price"
+    )
+    frame = stage(cells, "cells")
+    prep = fit_vector_prep(frame, ["much", "many"])
+    learner = MedianBoostedTrees(labelCol="price", maxDepth=2, stepSize=0.5, holdout=0.0, storeEvery=2)
+    return prep.apply(frame), learner.start(prep.apply(frame)).more(2).more(2)
+
+
+def boost_absolute(spark, sf_dir):
+    """Predictions after four rounds of boosting for absolute loss."""
+    frame, fit = _median_boosting(spark, sf_dir)
+    return _rounded(fit.model().transform(frame).select("l_orderkey", "prediction"))
+
+
+def boost_absolute_rounds(spark, sf_dir):
+    """What every leaf of every round adds, the rows its median is of, and the loss after the round."""
+    _, fit = _median_boosting(spark, sf_dir)
+    losses = loss_rows(spark, fit).filter("split = 'fit'").select("round", "mae")
+    return _rounded(leaf_rows(spark, fit).drop("leaf").join(losses, "round"))
+
+
 def training_recipe(spark, sf_dir):
     """The training job with a linear model: later periods, clipped target, seeded folds."""
     known = sale_history(sales(spark, sf_dir), "parcel", ORDER, target="observed")
@@ -824,6 +870,8 @@ QUERIES: dict[str, Query] = {
     "target_histogram": target_histogram_query,
     "skew_profile": skew_profile_query,
     "trim": trimmed,
+    "target_quantiles": target_quantiles,
+    "trim_quantiles": trim_quantiles,
     "regression_metrics": regression_metrics_query,
     "fold_summary": fold_summary_query,
     "score_sold_only": score_sold_only_query,
@@ -832,6 +880,8 @@ QUERIES: dict[str, Query] = {
     "cv_linear_metrics": cv_linear_metrics,
     "cv_linear_oof": cv_linear_oof,
     "ensemble_predict": ensemble_linear,
+    "boost_absolute": boost_absolute,
+    "boost_absolute_rounds": boost_absolute_rounds,
     "training_recipe": training_recipe,
     "training_summary": training_summary,
     "blend": blend,

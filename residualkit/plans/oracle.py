@@ -90,6 +90,14 @@ fits as (
   group by f.fold
 )"""
 
+CELLS = """
+cells as (
+  select l_orderkey, sum(l_quantity) > 100 as much, count(*) > 4 as many, sum(l_extendedprice) / 1e5 as price
+  from lineitem group by l_orderkey
+),
+base as (select median(price) as base from cells),
+middles as (select much, many, median(price) as middle, count(*) as n from cells group by much, many)"""
+
 NAMES = ("l_quantity", "l_discount", "l_tax", "l_linenumber", "l_suppkey", "l_partkey")
 CORRELATIONS = """
 folded as (
@@ -596,6 +604,24 @@ ORACLE_SQL: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "trim": f"with {TX} select row_key, round(observed, 6) as observed from tx where abs(observed) <= 1",
+    "target_quantiles": f"""with {TX},
+        p as (select unnest([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])::double as probability),
+        q as (select year, count(observed) as n,
+                     quantile_cont(observed, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]) as v from tx group by year)
+        select year, probability, n,
+               round(v[list_position([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99], probability)], 6) as value from q, p""",
+    "trim_quantiles": """with q as (select l_returnflag, quantile_cont(l_extendedprice, [0.01, 0.99]) as v from lineitem group by 1)
+        select l_orderkey, l_linenumber, l.l_returnflag, round(l_extendedprice, 6) as l_extendedprice
+        from lineitem l join q on q.l_returnflag = l.l_returnflag and l_extendedprice between v[1] and v[2]""",
+    "boost_absolute": f"""with {CELLS}
+        select l_orderkey, round(middle + (base - middle) * power(0.5, 4), 6) as prediction
+        from cells join middles using (much, many), base""",
+    "boost_absolute_rounds": f"""with {CELLS},
+        rounds as (select cast(unnest([1, 2, 3, 4]) as int) as "round"),
+        losses as (select "round", avg(abs(price - middle - (base - middle) * power(0.5, "round"))) as mae
+                   from cells join middles using (much, many), base, rounds group by "round")
+        select "round", n as "rows", round(0.5 * (middle - base) * power(0.5, "round" - 1), 6) as value, round(mae, 6) as mae
+        from middles, base join losses on true""",
     "regression_metrics": f"""with {SEGMENTED},
         scored as (select fold, observed - avg(observed) over (partition by nation) as e from folded)
         select fold, count(e) as n, round(avg(abs(e)), 6) as mae, round(avg(e * e), 6) as mse,
