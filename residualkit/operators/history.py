@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import require
 from residualkit.functions.scalars import flag
+from residualkit.operators.as_of import asof_rows
 from residualkit.operators.lookup import HEAVY_SHARE, keyed_join
 from residualkit.operators.ordering import number_and_previous
 from residualkit.staging import stage
@@ -50,17 +51,18 @@ def last_sales(
     """Per key, the last sale strictly before each horizon, as columns ``_h<horizon>``.
 
     One aggregation answers all horizons. It is combined before the shuffle, so
-    a key with very many sales sends one row per input partition. A single
-    numeric order column, such as a sale number, makes it a hash aggregation;
-    several columns are compared as a struct, for which Spark sorts by key.
+    a key with very many sales sends one row per input partition. Order columns that fit into
+    one number (see :func:`packed_order`) make it a hash aggregation; others
+    are compared as a struct, for which Spark sorts by key.
     """
     require(sales, order, "an order is needed because rows have none of their own")
     sale = {"prev_month": F.col(period), "prev_logerror": F.col(target)}
+    packed = packed_order(sales, order)
     known = []
     for h in horizons:
         early = F.col(period) < h
-        if len(order) == 1:
-            place = F.when(early, F.col(order[0]))
+        if packed is not None:
+            place = F.when(early, packed)
             last = F.struct(*[F.max_by(value, place).alias(name) for name, value in sale.items()])
         else:
             place = F.when(early, F.struct(*[F.col(c) for c in order]))
@@ -70,6 +72,33 @@ def last_sales(
     return early.groupBy(key).agg(*known)
 
 
+# Decimal digits that the values of a type take, and the smallest of them.
+_WHOLE = {"tinyint": (3, -(2**7)), "smallint": (5, -(2**15)), "int": (10, -(2**31)), "bigint": (20, -(2**63)), "date": (10, -(2**31))}
+
+
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One number that orders rows as the given columns do, missing values first; None if they do not fit.
+
+    Whole numbers and dates fit, up to the 38 digits of a decimal: a date and a long, for example. A decimal can be
+    updated in place by a hash aggregation, a struct cannot.
+    """
+    kinds = dict(df.dtypes)
+    if len(order) == 1:
+        return F.col(order[0])
+    if any(kinds[c] not in _WHOLE for c in order) or sum(_WHOLE[kinds[c]][0] for c in order) > 37:
+        return None
+    total, digits = None, 0
+    for c in reversed(order):
+        width, least = _WHOLE[kinds[c]]
+        whole = F.unix_date(c) if kinds[c] == "date" else F.col(c)
+        shifted = whole.cast(f"decimal({width}, 0)") - F.lit(str(least - 1)).cast("decimal(20, 0)")
+        part = F.coalesce(shifted, F.lit(0).cast("decimal(21, 0)")).cast(f"decimal({width}, 0)")
+        part = part if digits == 0 else part * F.lit(str(10**digits)).cast(f"decimal({digits + 1}, 0)")
+        total = part if total is None else total + part
+        digits += width
+    return total
+
+
 def _history_struct(horizon: int) -> list[Column]:
     sale = F.col(f"_h{horizon}")
     return [
@@ -152,6 +181,76 @@ def sales_of_repeat_keys(sales: DataFrame, key: str, target: str = "logerror") -
     return keyed_join(sales, repeated, [key], heavy=heavy).filter(F.col("_present").isNotNull()).drop("_present")
 
 
+def keep_spaced(
+    sales: DataFrame,
+    key: str,
+    date: str,
+    order: Sequence[str],
+    days: int = 31,
+    reasonable: Column | None = None,
+    max_rounds: int = 64,
+) -> DataFrame:
+    """Keep the first sale of each key, and then each next one more than ``days`` days after the last one kept.
+
+    Unlike :func:`drop_close_repeats`, a sale that was dropped does not count: of sales on days 0, 20, 40 and 60 those on
+    days 0 and 40 are kept. ``order`` must be a total order that begins with ``date``. Rows without a key or a date are
+    all kept. ``reasonable`` is an optional predicate; sales that fail it are set aside first.
+
+    A sale more than ``days`` days after the row before it is kept whatever came earlier, so
+    only runs of close sales need a search. In them, every sale points to the first one far enough after it: an as-of search by date
+    gives the position. From the first of each run the kept ones are those reached along the pointers, found by
+    doubling: with each written round pointers reach twice as far, so rounds grow with the logarithm of the longest run.
+    """
+    if not order or order[0] != date:
+        raise ValueError(f"the order must begin with {date}")
+    chosen = sales if reasonable is None else sales.filter(reasonable)
+    usable = F.col(key).isNotNull() & F.col(date).isNotNull()
+    own = [f"_c{i}" for i in range(len(chosen.columns))]
+    renamed = {c: n for c, n in zip(chosen.columns, own, strict=True)}
+    numbered = number_and_previous(chosen.filter(usable), key, order, {"_previous": date}, "_number")
+    gap = F.datediff(F.col(date), F.col("_previous"))
+    placed = stage(numbered.withColumn("_head", gap.isNull() | (gap > days)), "numbered_sales")
+
+    narrow = placed.select(F.col(key).alias("_key"), "_number", F.col(date).cast("date").alias("_date"), "_head")
+    # A head followed by a head is a run of one, and needs no pointer.
+    pointing = stage(_with_next_head(narrow), "run_members").filter("not _head or not _next_head")
+    reach = pointing.select("_key", "_number", F.date_add("_date", days).alias("_until"), "_head")
+    found = asof_rows(reach, narrow, "_key", "_until", "_date", {"_last": "_number"}, ["_number"], inclusive=True)
+    links = found.select("_key", "_number", (F.col("_last") + 1).alias("_to"), "_head")
+    # A pointer to a head, or past the last sale, reaches nothing that is not kept anyway.
+    inner = narrow.filter(~F.col("_head")).select("_key", F.col("_number").alias("_to"))
+    pointers = stage(links.join(inner, ["_key", "_to"], "left_semi").select("_key", "_number", "_to", "_head"), "pointers")
+    reached = stage(pointers.filter("_head").select("_key", "_number"), "reached")
+    pointers = pointers.drop("_head")
+    for _ in range(max_rounds):
+        if not pointers.head(1):
+            break
+        ahead = reached.join(pointers, ["_key", "_number"]).select("_key", F.col("_to").alias("_number"))
+        reached = stage(reached.unionByName(ahead).distinct(), "reached")
+        second = pointers.select("_key", F.col("_number").alias("_to"), F.col("_to").alias("_then"))
+        pointers = stage(pointers.join(second, ["_key", "_to"]).select("_key", "_number", F.col("_then").alias("_to")), "pointers")
+    else:
+        raise RuntimeError(f"a run of close sales did not end in {max_rounds} rounds")
+
+    more = reached.withColumnsRenamed({"_key": "_r_key", "_number": "_r_number"})
+    heads = placed.filter("_head")
+    others = placed.filter(~F.col("_head")).withColumnsRenamed(renamed)
+    same = (F.col(renamed[key]) == F.col("_r_key")) & (F.col("_number") == F.col("_r_number"))
+    others = others.join(more, same, "left_semi")
+    back = [F.col(n).alias(c) for c, n in renamed.items()]
+    kept = heads.select(*chosen.columns).unionByName(others.select(*back))
+    return kept.unionByName(chosen.filter(~F.coalesce(usable, F.lit(False))))
+
+
+def _with_next_head(numbered: DataFrame) -> DataFrame:
+    """Whether the sale after this one is the first of a run; the last sale of a key counts as followed by one.
+
+    Found by a join on the position, so that a key with very many sales is spread over all tasks.
+    """
+    following = numbered.select("_key", (F.col("_number") - 1).alias("_number"), F.col("_head").alias("_next_head"))
+    return numbered.join(following, ["_key", "_number"], "left").fillna(True, ["_next_head"])
+
+
 def drop_close_repeats(
     sales: DataFrame,
     key: str,

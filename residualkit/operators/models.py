@@ -249,6 +249,108 @@ def fit_blend(df: DataFrame, columns: Sequence[str], label: str) -> Blend:
     return Blend(tuple(columns), tuple(float(w) for w in fitted.coefficients), float(fitted.intercept))
 
 
+def simplex_weights(gram: Sequence[Sequence[float]], cross: Sequence[float]) -> list[float]:
+    """Weights of at least 0 that add up to 1 and minimise w' G w - 2 c' w, by an active-set search.
+
+    Starts from the best single model. The weights that are not 0 solve the problem without bounds; a
+    step that would make one negative stops where it reaches 0, and a weight of 0 comes back while
+    its gradient says that the loss would fall.
+    """
+    n = len(cross)
+    scale = max(1.0, *(abs(gram[i][i]) for i in range(n)))
+
+    def gradient(w: Sequence[float]) -> list[float]:
+        return [sum(gram[i][j] * w[j] for j in range(n)) - cross[i] for i in range(n)]
+
+    best = min(range(n), key=lambda i: (gram[i][i] - 2 * cross[i], i))
+    weights, active = [float(i == best) for i in range(n)], [best]
+    for _ in range(50 * n):
+        target = _equality_weights(gram, cross, active)
+        if all(target[i] >= 0 for i in active):
+            weights = target
+            slope = gradient(weights)
+            level = sum(slope[i] for i in active) / len(active)
+            falling = [i for i in range(n) if i not in active and slope[i] < level - 1e-12 * scale]
+            if not falling:
+                return weights
+            active = sorted([*active, min(falling, key=lambda i: (slope[i], i))])
+        else:
+            steps = {i: weights[i] / (weights[i] - target[i]) for i in active if target[i] < 0}
+            leaving = min(steps, key=lambda i: (steps[i], i))
+            t = steps[leaving]
+            weights = [w + t * (v - w) for w, v in zip(weights, target, strict=True)]
+            weights[leaving] = 0.0
+            active = [i for i in active if i != leaving]
+    return weights
+
+
+def _equality_weights(gram: Sequence[Sequence[float]], cross: Sequence[float], active: Sequence[int]) -> list[float]:
+    """The best weights on ``active`` that add up to 1, of any sign; the smallest such where models are copies."""
+    import numpy as np
+
+    m = len(active)
+    system = np.zeros((m + 1, m + 1))
+    system[:m, :m] = [[gram[i][j] for j in active] for i in active]
+    system[:m, m] = system[m, :m] = 1.0
+    solved = np.linalg.lstsq(system, np.array([*[cross[i] for i in active], 1.0]), rcond=1e-12)[0]
+    weights = [0.0] * len(cross)
+    for place, i in enumerate(active):
+        weights[i] = float(solved[place])
+    return weights
+
+
+def join_predictions(
+    predictions: Mapping[str, DataFrame], keys: Sequence[str], prediction: str = "prediction"
+) -> DataFrame:
+    """One row per key with one column for each model, named as in ``predictions``.
+
+    A row that a model did not predict has NULL there; a key that a model predicts twice is an error at run time.
+    """
+    stacked = reduce(
+        DataFrame.unionByName,
+        [df.select(*keys, F.lit(name).alias("_model"), F.col(prediction).cast("double").alias("_p")) for name, df in predictions.items()],
+    )
+    twice = F.concat(F.lit("two predictions by one model for "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+
+    def of(name: str) -> Column:
+        mine = F.col("_model") == name
+        many = F.count(F.when(mine, 1)) > 1
+        return F.when(many, F.raise_error(F.first(twice)).cast("double")).otherwise(F.max(F.when(mine, F.col("_p")))).alias(name)
+
+    return stacked.groupBy(*keys).agg(*[of(name) for name in predictions])
+
+
+def fit_simplex_blend(
+    out_of_fold: Mapping[str, DataFrame], truth: DataFrame, key: str, label: str, prediction: str = "prediction"
+) -> Blend:
+    """Weights of at least 0 that add up to 1, with the least squared error of the blended out-of-fold predictions.
+
+    ``out_of_fold`` has for each model ``key`` and its prediction; they and ``truth`` meet by ``key``. Rows that lack the
+    label or a prediction do not count. One pass gives the products of all pairs of models; what reaches the driver is one row.
+    """
+    names = list(out_of_fold)
+    joined = join_predictions({n: df.filter(F.col(key).isNotNull()) for n, df in out_of_fold.items()}, [key], prediction)
+    rows = joined.join(truth.select(key, F.col(label).cast("double").alias("_y")), key).dropna(subset=[*names, "_y"])
+    errors = [F.col(n) - F.col("_y") for n in names]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    sums = rows.agg(*[F.avg(errors[i] * errors[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    if not pairs or sums[0] is None:
+        raise ValueError("no row has a label and a prediction of every model")
+    # On the simplex the squared error is w' E w with the products of the errors themselves.
+    gram = [[sums[f"g{min(i, j)}_{max(i, j)}"] for j in range(len(names))] for i in range(len(names))]
+    return Blend(tuple(names), tuple(simplex_weights(gram, [0.0] * len(names))), 0.0)
+
+
+def blend_predictions(
+    blend: Blend, predictions: Mapping[str, DataFrame], keys: Sequence[str], prediction: str = "prediction"
+) -> DataFrame:
+    """``keys`` and the blended prediction; NULL where a model of the blend with a weight has none."""
+    used = {n: w for n, w in zip(blend.columns, blend.coefficients, strict=True) if w != 0}
+    kept = Blend(tuple(used), tuple(used.values()), blend.intercept)
+    joined = join_predictions({n: predictions[n] for n in used}, keys, prediction)
+    return kept.apply(joined, prediction).select(*keys, prediction)
+
+
 def boosted_trees(params: Mapping[str, object], trees: int, seed: int) -> GBTRegressor:
     """Gradient-boosted regression trees; ``params`` are Spark parameter names."""
     estimator = GBTRegressor(maxIter=trees, seed=seed)

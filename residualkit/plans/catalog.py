@@ -37,6 +37,7 @@ from residualkit.functions.scalars import (
     winsorize,
 )
 from residualkit.jobs import SourceFiles, prepare
+from residualkit.operators.as_of import asof_rows, group_stats_as_of, target_encode_as_of
 from residualkit.operators.boosting import Boosting, MedianBoostedTrees, leaf_rows, loss_rows
 from residualkit.operators.categories import fit_labels, fit_rare
 from residualkit.operators.folds import contiguous_folds, group_folds, shuffled_folds
@@ -45,6 +46,7 @@ from residualkit.operators.history import (
     asof_history,
     asof_history_wide,
     drop_close_repeats,
+    keep_spaced,
     repeat_sale_pairs,
     sale_history,
     sales_of_repeat_keys,
@@ -57,9 +59,12 @@ from residualkit.operators.metrics import (
     top_features,
 )
 from residualkit.operators.models import (
+    CrossValidation,
+    blend_predictions,
     cross_validate,
     ensemble_predict,
     fit_blend,
+    fit_simplex_blend,
     fit_vector_prep,
 )
 from residualkit.operators.profile import (
@@ -515,6 +520,33 @@ def dedup_reasonable(spark, sf_dir):
 # Profiles
 
 
+def dedup_since_kept(spark, sf_dir):
+    """Sales more than 31 days after the last sale of the parcel that was kept."""
+    return _rounded(keep_spaced(sales(spark, sf_dir), "parcel", "dt", ORDER).select("row_key", "parcel", "logerror"))
+
+
+def asof_rows_query(spark, sf_dir):
+    """For every sale, the parcel's last sale before a day of its own: up to 400 days earlier."""
+    tx = stage(sales(spark, sf_dir).select("row_key", "parcel", "dt", "observed"), "sales")
+    asked = tx.select("row_key", "parcel", F.date_sub("dt", (F.col("row_key") % 400).cast("int")).alias("cutoff"))
+    told = tx.withColumnRenamed("row_key", "sale")
+    found = asof_rows(asked, told, "parcel", "cutoff", "dt", {"last_sale": "sale", "last_observed": "observed"}, ["sale"])
+    return _rounded(found.drop("cutoff"), sparse=("last_sale",))
+
+
+def group_stats_as_of_query(spark, sf_dir):
+    """Statistics of earlier months only, for each sale."""
+    tx = stage(segmented_sales(spark, sf_dir).select("row_key", "month_block", "nation", "segment", "observed"), "sales")
+    return _rounded(group_stats_as_of(tx, tx, [["nation"], ["nation", "segment"]], ["observed"], "month_block"))
+
+
+def target_encode_as_of_query(spark, sf_dir):
+    """Mean target of the category in earlier months, else of all earlier sales."""
+    tx = stage(segmented_sales(spark, sf_dir).select("row_key", "month_block", "nation", "segment", "observed"), "sales")
+    encoded = target_encode_as_of(tx, tx, ["segment", ["nation", "segment"]], "observed", "month_block")
+    return _rounded(encoded.drop("observed"))
+
+
 def target_profile_query(spark, sf_dir):
     return _rounded(target_profile(sales(spark, sf_dir), "observed"))
 
@@ -676,6 +708,30 @@ def blend(spark, sf_dir):
     return _rounded(weights.apply(frame).select("l_orderkey", "prediction"))
 
 
+def _three_models(spark, sf_dir) -> tuple[DataFrame, dict[str, tuple[DataFrame, CrossValidation]]]:
+    """Order prices by three single features, each with its own cross-validated line."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.count(F.lit(1)).cast("double").alias("lines"),
+        F.max(F.col("l_extendedprice") / 1e5).alias("dearest"),
+        (F.sum("l_extendedprice") / 1e5).alias("price"),
+    )
+    frame = stage(shuffled_folds(lines, "l_orderkey", 5, seed=3), "three_models")
+    results = {}
+    for name in ("quantity", "lines", "dearest"):
+        vectors = fit_vector_prep(frame, [name]).apply(frame)
+        results[name] = (vectors, cross_validate(vectors, LinearRegression(solver="normal"), 5, "price", "l_orderkey"))
+    return frame, results
+
+
+def blend_models(spark, sf_dir):
+    """The models' ensemble predictions, blended with weights learned on their out-of-fold predictions."""
+    frame, results = _three_models(spark, sf_dir)
+    weights = fit_simplex_blend({n: r.oof for n, (_, r) in results.items()}, frame, "l_orderkey", "price")
+    scored = {n: ensemble_predict(vectors, r.models).select("l_orderkey", "prediction") for n, (vectors, r) in results.items()}
+    return _rounded(blend_predictions(weights, scored, ["l_orderkey"]))
+
+
 def submission_query(spark, sf_dir):
     """Group means per priority and month as predictions, pivoted and rounded."""
     tx = sales(spark, sf_dir)
@@ -866,6 +922,10 @@ QUERIES: dict[str, Query] = {
     "sales_of_repeat_keys": repeat_sales,
     "dedup_within_31_days": dedup_within_31_days,
     "dedup_reasonable": dedup_reasonable,
+    "dedup_since_kept": dedup_since_kept,
+    "asof_rows": asof_rows_query,
+    "group_stats_as_of": group_stats_as_of_query,
+    "target_encode_as_of": target_encode_as_of_query,
     "target_profile": target_profile_query,
     "target_histogram": target_histogram_query,
     "skew_profile": skew_profile_query,
@@ -885,6 +945,7 @@ QUERIES: dict[str, Query] = {
     "training_recipe": training_recipe,
     "training_summary": training_summary,
     "blend": blend,
+    "blend_models": blend_models,
     "submission": submission_query,
     "submission_csv": submission_csv,
     "features_round_trip": features_round_trip,

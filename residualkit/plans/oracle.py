@@ -604,6 +604,69 @@ ORACLE_SQL: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "trim": f"with {TX} select row_key, round(observed, 6) as observed from tx where abs(observed) <= 1",
+    "dedup_since_kept": f"""with recursive {TX},
+        numbered as (select *, row_number() over (partition by parcel order by dt, row_key) as n from tx),
+        walk as (
+          select parcel, n, row_key, logerror, dt as kept_dt, true as kept from numbered where n = 1
+          union all
+          select t.parcel, t.n, t.row_key, t.logerror, case when t.dt - w.kept_dt > 31 then t.dt else w.kept_dt end, t.dt - w.kept_dt > 31
+          from walk w join numbered t on t.parcel = w.parcel and t.n = w.n + 1)
+        select row_key, parcel, round(logerror, 6) as logerror from walk where kept""",
+    "asof_rows": f"""with {TX},
+        asked as (select row_key, parcel, dt - cast(row_key % 400 as int) as cutoff from tx),
+        ranked as (
+          select a.row_key, a.parcel, t.row_key as last_sale, t.observed,
+                 row_number() over (partition by a.row_key order by t.dt desc, t.row_key desc) as back
+          from asked a left join tx t on t.parcel = a.parcel and t.dt < a.cutoff)
+        select row_key, parcel, cast(last_sale as double) as last_sale, round(observed, 6) as last_observed
+        from ranked where back = 1""",
+    "group_stats_as_of": f"""with {SEGMENTED},
+        m as (select row_key, month_block, nation, segment, observed,
+                avg(observed) over (partition by nation order by month_block range between unbounded preceding and 1 preceding) as a,
+                case when segment is not null then
+                  avg(observed) over (partition by nation, segment order by month_block range between unbounded preceding and 1 preceding) end as b
+              from segmented)
+        select row_key, month_block, nation, segment, round(observed, 6) as observed,
+               round(a, 6) as nation_observed_mean, round(a - observed, 6) as nation_observed_dif,
+               round((a - observed) / nullif(a, 0), 6) as nation_observed_ratio,
+               round(b, 6) as nation_segment_observed_mean, round(b - observed, 6) as nation_segment_observed_dif,
+               round((b - observed) / nullif(b, 0), 6) as nation_segment_observed_ratio from m""",
+    "target_encode_as_of": f"""with {SEGMENTED},
+        m as (select row_key, month_block, nation, segment,
+                avg(observed) over (order by month_block range between unbounded preceding and 1 preceding) as o,
+                case when segment is not null then
+                  avg(observed) over (partition by segment order by month_block range between unbounded preceding and 1 preceding) end as a,
+                avg(observed) over (partition by nation, segment order by month_block range between unbounded preceding and 1 preceding) as b
+              from segmented)
+        select row_key, month_block, nation, segment, round(coalesce(a, o), 6) as segment_observed_enc,
+               round(coalesce(b, o), 6) as nation_segment_observed_enc from m""",
+    "blend_models": """with o as (
+          select l_orderkey, sum(l_quantity) as q, cast(count(*) as double) as c, max(l_extendedprice / 1e5) as d,
+                 sum(l_extendedprice) / 1e5 as y,
+                 cast(cast('0x' || substr(md5(l_orderkey || '_3'), 1, 8) as bigint) % 5 as int) as fold
+          from lineitem group by l_orderkey),
+        fits as (
+          select f.fold, regr_slope(y, q) as qs, regr_intercept(y, q) as qi, regr_slope(y, c) as cs,
+                 regr_intercept(y, c) as ci, regr_slope(y, d) as ds, regr_intercept(y, d) as di
+          from o join (select distinct fold from o) f on o.fold <> f.fold group by f.fold),
+        e as (select qi + qs * q - y as e1, ci + cs * c - y as e2, di + ds * d - y as e3 from o join fits using (fold)),
+        g as (select avg(e1 * e1) as a, avg(e2 * e2) as b, avg(e3 * e3) as c, avg(e1 * e2) as ab, avg(e1 * e3) as ac, avg(e2 * e3) as bc from e),
+        inner3 as (
+          select *, (b * c - bc * bc) - (ab * c - bc * ac) + (ab * bc - b * ac) as u,
+                 -(ab * c - ac * bc) + (a * c - ac * ac) - (a * bc - ab * ac) as v,
+                 (ab * bc - ac * b) - (a * bc - ac * ab) + (a * b - ab * ab) as w from g),
+        tries as (
+          select 1e0 as x, 0e0 as y, 0e0 as z union all select 0e0, 1e0, 0e0 union all select 0e0, 0e0, 1e0
+          union all select (b - ab) / (a + b - 2 * ab), (a - ab) / (a + b - 2 * ab), 0e0 from g
+          union all select (c - ac) / (a + c - 2 * ac), 0e0, (a - ac) / (a + c - 2 * ac) from g
+          union all select 0e0, (c - bc) / (b + c - 2 * bc), (b - bc) / (b + c - 2 * bc) from g
+          union all select u / (u + v + w), v / (u + v + w), w / (u + v + w) from inner3),
+        best as (
+          select x, y, z from tries, g where x >= 0 and y >= 0 and z >= 0
+          order by x * x * a + y * y * b + z * z * c + 2 * (x * y * ab + x * z * ac + y * z * bc) limit 1),
+        means as (select avg(qs) as qs, avg(qi) as qi, avg(cs) as cs, avg(ci) as ci, avg(ds) as ds, avg(di) as di from fits)
+        select l_orderkey, round(x * (qi + qs * q) + best.y * (ci + cs * c) + z * (di + ds * d), 6) as prediction
+        from o, best, means""",
     "target_quantiles": f"""with {TX},
         p as (select unnest([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])::double as probability),
         q as (select year, count(observed) as n,
