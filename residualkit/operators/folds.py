@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from residualkit.functions.scalars import hash_bucket, hash_order
+from residualkit.operators.lookup import HEAVY_SHARE, left_join
 from residualkit.operators.ordering import block_starts, ordered_blocks, rows_at
+from residualkit.staging import stage
 
 
 def contiguous_folds(df: DataFrame, k: int, order: Sequence[str], name: str = "fold") -> DataFrame:
@@ -80,6 +84,69 @@ def group_folds(
     return df.withColumn(name, F.coalesce(own, alone))
 
 
+@dataclass(frozen=True)
+class BalancedFolds:
+    """Which fold each heavy group and each bucket of other groups goes to, and the rows of every fold."""
+
+    group: str
+    k: int
+    seed: int
+    heavy: tuple[tuple[object, int], ...]
+    buckets: tuple[int, ...]
+    sizes: tuple[int, ...]
+    largest: int
+
+    def apply(self, df: DataFrame, name: str = "fold", row_key: str | None = None) -> DataFrame:
+        """Add the fold; no shuffle, the heavy groups are a broadcast of at most ``HEAVY_SHARE`` rows."""
+        of_bucket = F.array(*[F.lit(f) for f in self.buckets])
+        light = F.element_at(of_bucket, _bucket_of(self.group, row_key, len(self.buckets), self.seed) + 1)
+        if not self.heavy:
+            return df.withColumn(name, light)
+        schema = T.StructType([T.StructField(self.group, df.schema[self.group].dataType), T.StructField("_fold", T.IntegerType())])
+        known = F.broadcast(df.sparkSession.createDataFrame(list(self.heavy), schema))
+        joined = left_join(df, known, [self.group])
+        return joined.withColumn(name, F.coalesce("_fold", light)).drop("_fold")
+
+
+def _bucket_of(group: str, row_key: str | None, buckets: int, seed: int) -> Column:
+    """The bucket of a group, or of a row that has none."""
+    alone = F.raise_error(F.lit(f"a row has no {group}; name a row_key")).cast("int")
+    if row_key is not None:
+        alone = F.coalesce(hash_bucket(row_key, buckets, seed), alone)
+    return F.coalesce(hash_bucket(group, buckets, seed), alone)
+
+
+def fit_balanced_folds(
+    df: DataFrame, group: str, k: int, seed: int, row_key: str | None = None, buckets: int = 1024
+) -> BalancedFolds:
+    """Folds of whole groups with sizes as equal as the groups allow.
+
+    Groups that hold at least 1/``HEAVY_SHARE`` of the rows are counted one by one; all others are dealt by a seeded hash into
+    buckets, which are counted. Largest first, each heavy group and each bucket goes to the fold that has the
+    fewest rows. Two folds then differ by no more than the largest of them. A row without a group is a group of its own and is
+    dealt by ``row_key``.
+    """
+    if k < 2:
+        raise ValueError("need at least two folds")
+    rows = df.select(F.col(group).alias("_group"), _bucket_of(group, row_key, buckets, seed).alias("_bucket"))
+    counts = stage(rows.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("n")), "group_sizes")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    bar = max(2, -(-total // HEAVY_SHARE))
+    is_heavy = F.col("_group").isNotNull() & (F.col("n") >= bar)
+    heavy = [(r["n"], 0, str(r["_group"]), r["_group"]) for r in counts.filter(is_heavy).select("_group", "n").collect()]
+    light = counts.filter(~is_heavy).groupBy("_bucket").agg(F.sum("n").alias("n")).collect()
+    items = sorted([*heavy, *[(r["n"], 1, f"{r['_bucket']:06d}", r["_bucket"]) for r in light]], key=lambda i: (-i[0], i[1], i[2]))
+    loads, placed, of_bucket = [0] * k, [], [0] * buckets
+    for n, kind, _, item in items:
+        fold = min(range(k), key=lambda f: (loads[f], f))
+        loads[fold] += n
+        if kind == 0:
+            placed.append((item, fold))
+        else:
+            of_bucket[item] = fold
+    return BalancedFolds(group, k, seed, tuple(placed), tuple(of_bucket), tuple(loads), max((i[0] for i in items), default=0))
+
+
 def checked_fold(fold: str, k: int) -> Column:
     """The fold, or an error at run time where it is missing or not between 0 and ``k`` - 1."""
     wrong = F.concat(F.lit(f"{fold} must be 0 to {k - 1}, not "), F.coalesce(F.col(fold).cast("string"), F.lit("missing")))

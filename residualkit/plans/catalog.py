@@ -40,7 +40,7 @@ from residualkit.jobs import SourceFiles, prepare
 from residualkit.operators.as_of import asof_rows, group_stats_as_of, target_encode_as_of
 from residualkit.operators.boosting import Boosting, MedianBoostedTrees, leaf_rows, loss_rows
 from residualkit.operators.categories import fit_labels, fit_rare
-from residualkit.operators.folds import contiguous_folds, group_folds, shuffled_folds
+from residualkit.operators.folds import contiguous_folds, fit_balanced_folds, group_folds, shuffled_folds
 from residualkit.operators.group_stats import fit_group_stats
 from residualkit.operators.history import (
     asof_history,
@@ -51,6 +51,7 @@ from residualkit.operators.history import (
     sale_history,
     sales_of_repeat_keys,
 )
+from residualkit.operators.importance import permutation_importance
 from residualkit.operators.metrics import (
     fold_summary,
     mean_importance,
@@ -67,6 +68,7 @@ from residualkit.operators.models import (
     fit_simplex_blend,
     fit_vector_prep,
 )
+from residualkit.operators.moments import cross_validate_ridge, fold_moments, ridge
 from residualkit.operators.profile import (
     narrow_types,
     skew_profile,
@@ -402,6 +404,12 @@ def grouped(spark, sf_dir):
     return group_folds(sales(spark, sf_dir).select("row_key", "parcel"), "parcel", 5, seed=7)
 
 
+def grouped_balanced(spark, sf_dir):
+    """Whole parcels in folds of nearly equal size."""
+    tx = stage(sales(spark, sf_dir).select("row_key", "parcel"), "sales")
+    return fit_balanced_folds(tx, "parcel", 5, seed=7).apply(tx)
+
+
 def _partly_grouped(spark, sf_dir):
     """Sales of which some have no parcel."""
     tx = sales(spark, sf_dir).select("row_key", "parcel", "dt", "month_block", "observed")
@@ -642,6 +650,32 @@ def cv_linear_oof(spark, sf_dir):
     return _rounded(_linear_cv(spark, sf_dir)[2].oof.select("l_orderkey", "fold", "prediction"))
 
 
+def cv_ridge_moments(spark, sf_dir):
+    """Lines of every fold and penalty, and their errors, from one pass over the rows."""
+    frame, penalties = _price_lines(spark, sf_dir), (0.0, 50.0)
+    found = cross_validate_ridge(frame, ["quantity"], "price", "fold", 5, penalties)
+    rows = [
+        (float(p), f, line.coefficients[0], line.intercept, found.train_error[i][f], found.valid_error[i][f])
+        for i, p in enumerate(penalties)
+        for f, line in enumerate(found.lines[i])
+    ]
+    schema = "penalty double, fold int, slope double, base double, train_mse double, valid_mse double"
+    return _rounded(spark.createDataFrame(rows, schema))
+
+
+def permuted_importance(spark, sf_dir):
+    """How much worse a line of two features gets when one of them is permuted."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.max("l_discount").alias("discount"),
+        (F.sum("l_extendedprice") / 1e5).alias("price"),
+    )
+    frame = stage(lines.withColumn("fold", F.lit(0)), "importance")
+    names = ["quantity", "discount"]
+    line = ridge(fold_moments(frame, names, "price", "fold", 1)[0], names)
+    return _rounded(permutation_importance(frame, line.apply, names, "price", ["l_orderkey"], seed=4))
+
+
 def ensemble_linear(spark, sf_dir):
     frame, prep, result = _linear_cv(spark, sf_dir)
     return _rounded(ensemble_predict(prep.apply(frame), result.models).select("l_orderkey", "prediction"))
@@ -909,6 +943,7 @@ QUERIES: dict[str, Query] = {
     "shuffled_folds_exact": shuffled_exact,
     "group_folds": grouped,
     "group_folds_missing": grouped_missing,
+    "group_folds_balanced": grouped_balanced,
     "target_encode_group_folds": target_encode_group_folds,
     "cv_group_oof": cv_group_oof,
     "target_encode_oof": target_encode_oof,
@@ -939,6 +974,8 @@ QUERIES: dict[str, Query] = {
     "top_features": top_features_query,
     "cv_linear_metrics": cv_linear_metrics,
     "cv_linear_oof": cv_linear_oof,
+    "cv_ridge_moments": cv_ridge_moments,
+    "permutation_importance": permuted_importance,
     "ensemble_predict": ensemble_linear,
     "boost_absolute": boost_absolute,
     "boost_absolute_rounds": boost_absolute_rounds,

@@ -604,6 +604,52 @@ ORACLE_SQL: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "trim": f"with {TX} select row_key, round(observed, 6) as observed from tx where abs(observed) <= 1",
+    "group_folds_balanced": """with recursive tx as (
+          select o_orderkey as row_key, o_custkey as parcel, cast('0x' || substr(md5(o_custkey || '_7'), 1, 8) as bigint) % 1024 as bucket
+          from orders),
+        counts as (select parcel, bucket, count(*) as n from tx group by all),
+        marked as (select *, n >= greatest(2, ceil(sum(n) over () / 1000)) as heavy from counts),
+        things as (
+          select n, 0 as kind, cast(parcel as varchar) as id from marked where heavy
+          union all
+          select sum(n), 1, lpad(cast(bucket as varchar), 6, '0') from marked where not heavy group by bucket),
+        items as (select *, row_number() over (order by n desc, kind, id) as i from things),
+        walk as (
+          select 0 as i, 0::hugeint as a, 0::hugeint as b, 0::hugeint as c, 0::hugeint as d, 0::hugeint as e, -1 as fold
+          union all
+          select i, a + case when f = 0 then n else 0 end, b + case when f = 1 then n else 0 end, c + case when f = 2 then n else 0 end,
+                 d + case when f = 3 then n else 0 end, e + case when f = 4 then n else 0 end, f
+          from (select t.i, t.n, a, b, c, d, e, cast(list_position([a, b, c, d, e], least(a, b, c, d, e)) - 1 as int) as f
+                from walk w join items t on t.i = w.i + 1)),
+        placed as (select kind, id, fold from walk join items using (i))
+        select row_key, parcel, fold from tx join marked using (parcel, bucket)
+        join placed on kind = case when heavy then 0 else 1 end
+          and id = case when heavy then cast(parcel as varchar) else lpad(cast(bucket as varchar), 6, '0') end""",
+    "cv_ridge_moments": f"""with {LINES},
+        m as (
+          select p.penalty, f.fold, covar_pop(price, quantity) / (var_pop(quantity) + p.penalty) as slope, avg(price) as y, avg(quantity) as x
+          from price_lines l join (select distinct fold from price_lines) f on l.fold <> f.fold, (values (0e0), (50e0)) p(penalty)
+          group by p.penalty, f.fold)
+        select penalty, m.fold, round(slope, 6) as slope, round(y - slope * x, 6) as base,
+               round(avg(power(price - y - slope * (quantity - x), 2)) filter (l.fold <> m.fold), 6) as train_mse,
+               round(avg(power(price - y - slope * (quantity - x), 2)) filter (l.fold = m.fold), 6) as valid_mse
+        from m, price_lines l group by penalty, m.fold, slope, y, x""",
+    "permutation_importance": """with o as (
+          select l_orderkey, sum(l_quantity) as q, max(l_discount) as d, sum(l_extendedprice) / 1e5 as y,
+                 row_number() over (order by l_orderkey) - 1 as p from lineitem group by l_orderkey),
+        s as (select count(*) as n, var_pop(q) as qq, var_pop(d) as dd, covar_pop(q, d) as qd, covar_pop(q, y) as qy, covar_pop(d, y) as dy,
+                     avg(q) as mq, avg(d) as md, avg(y) as my from o),
+        w as (select *, (qy * dd - dy * qd) / (qq * dd - qd * qd) as wq, (dy * qq - qy * qd) / (qq * dd - qd * qd) as wd from s),
+        moves as (
+          select i, (select min(x) from range(h, h + 1000) t(x) where gcd(x, n) = 1) as a, offs % n as b, n
+          from (select i, greatest(1, cast('0x' || substr(md5('4_' || i), 1, 8) as bigint) % 1048576) as h,
+                       cast('0x' || substr(md5('4_' || i), 9, 8) as bigint) as offs from (values (0), (1)) v(i)), s),
+        sent as (select (a * p + b) % n as p, max(case when i = 0 then q end) as q2, max(case when i = 1 then d end) as d2
+                 from o, moves group by 1),
+        e as (select avg(abs(y - my - wq * (q - mq) - wd * (d - md))) as own, avg(abs(y - my - wq * (q2 - mq) - wd * (d - md))) as eq,
+                     avg(abs(y - my - wq * (q - mq) - wd * (d2 - md))) as ed from o join sent using (p), w)
+        select 'quantity' as feature, round(own, 6) as loss, round(eq, 6) as permuted_loss, round(eq - own, 6) as importance from e
+        union all select 'discount', round(own, 6), round(ed, 6), round(ed - own, 6) from e""",
     "dedup_since_kept": f"""with recursive {TX},
         numbered as (select *, row_number() over (partition by parcel order by dt, row_key) as n from tx),
         walk as (
