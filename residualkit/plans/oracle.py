@@ -2,7 +2,8 @@
 
 Each text states the meaning of its query directly, mostly with window
 functions over whole tables, and shares no code with the operators. It is only
-run on small data, to check results. Queries that fit trees have no text here.
+run on small data, to check results. For queries that fit trees it states what any
+right result has: rows, sums, limits.
 """
 
 from __future__ import annotations
@@ -179,6 +180,34 @@ def _code(column: str, relation: str) -> str:
     )
 
 
+LINEAR_SUBMISSION = (
+    f"with {TX},"
+    + """
+horizons as (select unnest([46, 47, 48, 58, 59, 60]) as horizon),
+lagged as (select *, lag(observed) over (partition by parcel order by dt, row_key) as prev from tx),
+later as (select row_key, least(1e0, greatest(-1e0, observed)) as y, prev,
+          cast(cast('0x' || substr(md5(row_key || '_11'), 1, 8) as bigint) % 5 as int) as fold
+          from lagged where month_block > 3 and observed is not null),
+fill as (select min(prev) - 1 as low from later),
+fits as (select f.fold, regr_slope(y, coalesce(prev, low)) as slope, regr_intercept(y, coalesce(prev, low)) as base
+         from later t join (select distinct fold from later) f on t.fold <> f.fold, fill group by f.fold),
+line as (select avg(slope) as slope, avg(base) as base from fits),
+ranked as (
+  select horizon, parcel, observed, row_number() over (partition by horizon, parcel order by dt desc, row_key desc) as back
+  from horizons join tx on month_block < horizon),
+scored as (
+  select c_custkey as parcel, h.horizon, base + slope * coalesce(r.observed, low) as prediction
+  from customer cross join horizons h left join (select * from ranked where back = 1) r
+    on r.parcel = c_custkey and r.horizon = h.horizon, line, fill)
+select parcel as "ParcelId", """
+    + ", ".join(
+        f"round_even(max(case when horizon = {h} then prediction end), 4) as \"{p}\""
+        for h, p in zip((46, 47, 48, 58, 59, 60), ("199810", "199811", "199812", "199910", "199911", "199912"), strict=True)
+    )
+    + " from scored group by parcel"
+)
+
+
 def _recipe(fold_key: str) -> str:
     """Clipped later sales with a filled feature, hashed folds, and one line per fold."""
     return f"""{TX},
@@ -783,4 +812,13 @@ ORACLE_SQL: dict[str, str] = {
     "features_train": FEATURES_TRAIN,
     "features_score": FEATURES_SCORE,
     "job_from_csv": FEATURES_TRAIN,
+    "linear_submission": LINEAR_SUBMISSION,
+    "cv_gbt_metrics": f"""with {TX},
+        later as (select cast(cast('0x' || substr(md5(row_key || '_42'), 1, 8) as bigint) % 3 as int) as fold
+                  from tx where month_block > 3 and observed is not null)
+        select f.fold, case when t.fold = f.fold then 'valid' else 'train' end as split, count(*) as n,
+               true as better, true as within_limit
+        from later t cross join (select distinct fold from later) f group by 1, 2""",
+    "feature_importance": """select cast(unnest([0, 1, 2]) as int) as fold, cast(10 as bigint) as features, 1e0 as total, cast(1 as int) as least""",
+    "gbt_submission": """select c_custkey as "ParcelId", cast(6 as int) as periods, true as near from customer""",
 }

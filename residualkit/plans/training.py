@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.scalars import winsorize
+from residualkit.operators.boosting import MedianBoostedTrees
 from residualkit.operators.folds import group_folds, shuffled_folds
 from residualkit.operators.models import (
     CrossValidation,
@@ -50,6 +51,8 @@ OBJECTIVES = {
 # Entries that change nothing in what is learned here.
 WITHOUT_EFFECT = ("verbosity", "verbose", "silent", "metric", "eval_metric", "n_jobs", "nthread", "num_threads", "device")
 BOOSTERS = ("gbt", "lgb", "xgb", "cat")
+#: Boosting for absolute loss with medians in the leaves, see :mod:`residualkit.operators.boosting`.
+MEDIAN_BOOSTER = "median"
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,12 @@ class Trained:
 
 
 def estimator_for(config: TrainConfig) -> Estimator:
-    """The estimator a configuration describes. Every booster name means Spark's boosted trees."""
+    """The estimator a configuration describes.
+
+    The model type ``median`` means boosting for absolute loss; every other booster name means Spark's boosted trees.
+    """
+    if config.model_type == MEDIAN_BOOSTER:
+        return _median_estimator(config)
     if config.model_type not in BOOSTERS:
         raise ValueError(f"model type {config.model_type} needs an estimator of its own")
     params = {}
@@ -79,6 +87,24 @@ def estimator_for(config: TrainConfig) -> Estimator:
     return boosted_trees(params, config.n_estimators, config.seed)
 
 
+def _median_estimator(config: TrainConfig) -> MedianBoostedTrees:
+    made = MedianBoostedTrees(maxIter=config.n_estimators, seed=config.seed)
+    if config.early_stopping_rounds is None:
+        made.set(made.holdout, 0.0)
+    else:
+        made.set(made.patience, config.early_stopping_rounds)
+    for name, value in config.model_params.items():
+        if name in ("objective", "lossType"):
+            if OBJECTIVES.get(str(value), value) != "absolute":
+                raise ValueError(f"model type {MEDIAN_BOOSTER} is for absolute loss, not {value}")
+        elif name not in WITHOUT_EFFECT:
+            spark_name = PARAMETER_NAMES.get(name, name)
+            if not made.hasParam(spark_name):
+                raise ValueError(f"parameter {name} has no counterpart in boosting for absolute loss")
+            made.set(made.getParam(spark_name), value)
+    return made
+
+
 def train(
     rows: DataFrame,
     config: TrainConfig,
