@@ -22,41 +22,57 @@ from residualkit.plans.features import FeatureSpec, build_features
 from residualkit.plans.scoring import forecast, submission
 from residualkit.plans.training import train
 from residualkit.sources.config import TrainConfig, read_config
+from residualkit.sources.quarantine import read_quarantined
 from residualkit.sources.tables import read_in_order, read_table, write_submission, write_table
 from residualkit.staging import staging_scope
 
 
 @dataclass(frozen=True)
 class SourceFiles:
-    """Names of the CSV files by year, and schemas where they should not be inferred."""
+    """Names of the CSV files, one pattern for all years or a name for each, and schemas where they should not be inferred."""
 
-    properties: str = "properties_{year}.csv"
-    sales: str = "train_{year}.csv"
+    properties: str | Mapping[int, str] = "properties_{year}.csv"
+    sales: str | Mapping[int, str] = "train_{year}.csv"
     template: str = "sample_submission.csv"
     schemas: Mapping[str, T.StructType] = field(default_factory=dict)
 
 
+def file_name(names: str | Mapping[int, str], year: int) -> str:
+    return names.format(year=year) if isinstance(names, str) else names[year]
+
+
 def prepare(
-    spark: SparkSession, source: str, tables: str, spec: FeatureSpec = FeatureSpec(), files: SourceFiles = SourceFiles()
+    spark: SparkSession,
+    source: str,
+    tables: str,
+    spec: FeatureSpec = FeatureSpec(),
+    files: SourceFiles = SourceFiles(),
+    quarantine: str | None = None,
 ) -> None:
     """CSV files in ``source`` to the feature tables ``train`` and ``score`` below ``tables``.
 
-    Sales without a row id are numbered in file order, year after year.
+    Sales without a row id are numbered in file order, year after year. With ``quarantine``, damaged rows
+    of property files that have a schema are written to that folder, one table a file, and left out.
     """
 
     def read(name: str) -> DataFrame:
         return read_table(spark, f"{source}/{name}", files.schemas.get(name), format="csv")
 
+    def read_properties(name: str) -> DataFrame:
+        if quarantine is None or name not in files.schemas:
+            return read(name)
+        return read_quarantined(spark, f"{source}/{name}", files.schemas[name], f"{quarantine}/{name}", [spec.key]).rows
+
     with staging_scope(spark):
         sales, start = {}, 0
         for year in spec.years:
-            name = files.sales.format(year=year)
+            name = file_name(files.sales, year)
             rows = read(name)
             if spec.row_id not in rows.columns:
                 rows = read_in_order(spark, f"{source}/{name}", files.schemas.get(name), name=spec.row_id, start=start)
                 start += rows.count()
             sales[year] = rows
-        properties = {year: read(files.properties.format(year=year)) for year in spec.years}
+        properties = {year: read_properties(file_name(files.properties, year)) for year in spec.years}
         frames = build_features(properties, sales, read(files.template).select(spec.score_key), spec)
         write_table(frames.train, f"{tables}/train")
         write_table(frames.score, f"{tables}/score", ("snapshot_year",))

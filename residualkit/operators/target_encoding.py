@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import balanced_sum
 from residualkit.operators.folds import checked_fold
-from residualkit.operators.lookup import lookup_chain
+from residualkit.operators.lookup import broadcast_limit, lookup_chain, set_sizes
 from residualkit.staging import stage_measured
 
 
@@ -98,11 +98,15 @@ def fit_target_encodings(
     whole = staged.filter(F.col("_set") == grouping_mark(keys, [])).select("_mean").first()
     overall = whole["_mean"] if whole else None
 
+    limit = broadcast_limit(train.sparkSession)
+    measured = set_sizes(staged) if size > limit else {}
+
     encodings = []
     for s in sets:
         rows = staged.filter(F.col("_set") == grouping_mark(keys, s))
         if len(s) == 1:
             rows = rows.filter(F.col(s[0]).isNotNull())
         name = "_".join([*s, target, "enc"])
-        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), size, overall, k))
+        own_size = measured.get(grouping_mark(keys, s), 0) if measured else size
+        encodings.append(TargetEncoding(s, name, rows.select(*s, "_mean", "_others"), own_size, overall, k))
     return encodings

@@ -90,6 +90,7 @@ from residualkit.plans.features import FeatureFrames, FeatureSpec, build_feature
 from residualkit.plans.scoring import forecast, horizon_rows, submission
 from residualkit.plans.training import Trained, train
 from residualkit.sources.config import TrainConfig
+from residualkit.sources.quarantine import read_quarantined
 from residualkit.sources.tables import read_table, write_submission, write_table
 from residualkit.staging import stage, staged_folder
 
@@ -793,6 +794,27 @@ def features_round_trip(spark, sf_dir):
     return union_by_name(years).withColumn("snapshot_year", F.col("snapshot_year").cast("int"))
 
 
+def read_damaged(spark, sf_dir):
+    """Orders written as CSV with four kinds of damage; the good rows, and the rejected ones with the reason."""
+    key = F.col("o_orderkey")
+    customer = F.when(key % 97 == 0, F.concat(F.lit("x"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_custkey").cast("string"))
+    day = F.when(key % 83 == 2, F.lit("1995-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    line = F.concat(F.when(key % 79 == 3, F.lit("")).otherwise(key.cast("string")), F.lit(","), customer, F.lit(","), day,
+                    F.when(key % 89 == 1, F.lit(",extra")).otherwise(F.lit("")))
+    folder = f"{staged_folder(spark)}/damaged-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").select(line).write.text(f"{folder}/orders.csv")
+    found = read_quarantined(
+        spark, f"{folder}/orders.csv", "row_key long, parcel long, dt date", f"{folder}/rejected", ["row_key"], header="false"
+    )
+    none = F.lit(None).cast("string")
+    good = found.rows.select("row_key", "parcel", F.date_format("dt", "yyyy-MM-dd").alias("day"), F.lit("good").alias("status"), none.alias("text"))
+    no_key, no_day = F.lit(None).cast("long"), F.lit(None).cast("string")
+    bad = found.rejected.select(no_key.alias("row_key"), no_key.alias("parcel"), no_day.alias("day"), F.col("reason").alias("status"), "text")
+    counts = {"good": found.good, "bad": found.bad}
+    both = good.unionByName(bad).withColumns({n: F.lit(c).cast("long") for n, c in counts.items()})
+    return _rounded(both, sparse=("row_key", "parcel"))
+
+
 # The whole job
 
 
@@ -1014,6 +1036,7 @@ QUERIES: dict[str, Query] = {
     "submission": submission_query,
     "submission_csv": submission_csv,
     "features_round_trip": features_round_trip,
+    "read_quarantined": read_damaged,
     "features_train": features_train,
     "features_score": features_score,
     "job_from_csv": job_from_csv,

@@ -633,6 +633,17 @@ ORACLE_SQL: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "trim": f"with {TX} select row_key, round(observed, 6) as observed from tx where abs(observed) <= 1",
+    "read_quarantined": """with lines as (
+          select o_orderkey as k, o_custkey as c, cast(o_orderdate as date) as d,
+                 k % 97 = 0 or k % 89 = 1 or k % 83 = 2 as malformed, k % 79 = 3 as keyless,
+                 case when k % 79 = 3 then '' else cast(k as varchar) end || ',' || case when k % 97 = 0 then 'x' else '' end || c || ','
+                   || case when k % 83 = 2 then '1995-13-45' else strftime(d, '%Y-%m-%d') end || case when k % 89 = 1 then ',extra' else '' end as line
+          from orders),
+        judged as (select *, case when malformed then 'malformed' when keyless then 'no row_key' else 'good' end as status from lines)
+        select case when status = 'good' then k::double end as row_key, case when status = 'good' then c::double end as parcel,
+               case when status = 'good' then strftime(d, '%Y-%m-%d') end as day, status, case when status <> 'good' then line end as text,
+               count(*) filter (status = 'good') over () as good, count(*) filter (status <> 'good') over () as bad
+        from judged""",
     "group_folds_balanced": """with recursive tx as (
           select o_orderkey as row_key, o_custkey as parcel, cast('0x' || substr(md5(o_custkey || '_7'), 1, 8) as bigint) % 1024 as bucket
           from orders),
