@@ -19,14 +19,18 @@ Everything here is DataFrame functions; no Python runs on the executors.
 
 Patterns are written so that a long run of digits or letters is neither scanned
 again from each of its characters nor matched by recursion: possessive
-quantifiers and a look-behind, with the same leftmost matches.
+quantifiers and a look-behind, with the same leftmost matches. A run of fewer than 13
+digits is no match of the card pattern: it could not pass the check, and nothing is tried in its place.
+
+The work on a text grows with its length: running sums over its matches are made in two levels
+(:func:`scan_before`), overlaps are found by bisection, and pieces of the text are cut from blocks of characters.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +40,7 @@ from residualkit.llm.frames import known
 from residualkit.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
+CHARACTERS = 1024
 ABSENT = "pii_"
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -44,7 +49,7 @@ _LABEL = "[A-Za-z0-9-]"
 PATTERNS = (
     ("email", 0, rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++", "@"),
     ("ip", 1, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
-    ("card", 2, r"[0-9](?:[\x20-]?[0-9])++", None),
+    ("card", 2, r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,}+", None),
     ("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
     (
         "email_words",
@@ -147,6 +152,59 @@ def span_features(hit: Column, before: Column, after: Column) -> Column:
     )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and wherever the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scan_before(values: Column, zero: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each element of a non-empty array, all elements before it combined, from ``zero`` on.
+
+    An array cannot grow in place, so one fold would copy it once an element. Here folds run within blocks of about
+    the square root of the length, and once over the blocks.
+    """
+
+    def fold(array: Column, last: Callable[[Column], Column]) -> Column:
+        return F.aggregate(array, F.array(zero), lambda seen, v: F.array_append(seen, combine(F.element_at(seen, -1), last(v))))
+
+    def inside(array: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(array))).cast("int")
+        return let(
+            width,
+            lambda w: F.transform(
+                F.sequence(F.lit(0), F.floor((F.size(array) - 1) / w).cast("int")),
+                lambda b: fold(F.slice(array, b * w + 1, w), lambda v: v),
+            ),
+        )
+
+    def joined(blocks: Column, starts: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda p, b: F.transform(F.slice(p, 1, F.size(p) - 1), lambda v: combine(starts[b], v))))
+
+    return let(
+        values,
+        lambda array: let(
+            inside(array),
+            lambda blocks: let(fold(blocks, lambda p: F.element_at(p, -1)), lambda starts: joined(blocks, starts)),
+        ),
+    )
+
+
+def first_beyond(spans: Column, place: Column) -> Column:
+    """How many leading spans of a sorted array end at or before ``place``, by bisection; the spans do not overlap."""
+    begin = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        done = acc["low"] >= acc["high"]
+        ends_before = F.get(spans, middle)["end"] <= place
+        return F.struct(
+            F.when(~done & ends_before, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(~done & ~ends_before, middle).otherwise(acc["high"]).alias("high"),
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(31)), begin, halve, lambda acc: acc["low"])
+
+
 def candidates(docs: DataFrame, id_column: str, text_column: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` rows as the id, ``keep`` and ``spans``: all candidates of the text, with votes and features.
 
@@ -190,15 +248,9 @@ def candidates(docs: DataFrame, id_column: str, text_column: str, keep: tuple[st
     def found(index: int) -> Column:
         name, kind, _, _ = PATTERNS[index]
         hit, gap = F.col(own(f"h_{name}")), F.col(own(f"g_{name}"))
-        starts = F.aggregate(
-            F.sequence(F.lit(0), F.size(hit) - 1),
-            F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("at")),
-            lambda acc, i: F.struct(
-                (acc["pos"] + F.length(gap[i]) + F.length(hit[i])).alias("pos"),
-                F.array_append(acc["at"], acc["pos"] + F.length(gap[i])).alias("at"),
-            ),
-            lambda acc: acc["at"],
-        )
+        lengths = F.transform(F.sequence(F.lit(0), F.size(hit) - 1), lambda i: F.length(gap[i]) + F.length(hit[i]))
+        before_each = scan_before(lengths, F.lit(0), lambda a, b: a + b)
+        starts = F.transform(before_each, lambda passed, i: passed + F.length(gap[i]))
 
         def span(start: Column, i: Column) -> Column:
             ok = base_check(name, hit[i])
@@ -305,8 +357,13 @@ def fit_spans(found: DataFrame) -> SpanModel:
 def accepted(spans: Column, model: SpanModel) -> Column:
     """Base spans, and further candidates that the classifier accepts and that touch no base span; sorted."""
     base = F.filter(spans, lambda s: s["base"])
+    of_kind = [F.filter(spans, lambda s, k=k: s["base"] & (s["kind"] == k)) for k in range(len(KINDS))]
+
+    def touches(own: Column, s: Column) -> Column:
+        """Spans of one kind are sorted and apart, so only the first that ends after the candidate begins can touch it."""
+        return F.coalesce(F.get(own, first_beyond(own, s["start"]))["start"] < s["end"], F.lit(False))
 
-    def good(s: Column) -> Column:
+    def good(s: Column, bases: Column) -> Column:
         kind = s["kind"].cast("string")
         own = F.concat(
             s["features"],
@@ -317,11 +374,15 @@ def accepted(spans: Column, model: SpanModel) -> Column:
             _lookup(model.prior, kind, -1.0),
             lambda acc, f: acc + _lookup(model.weights, F.concat(kind, F.lit(":"), f), 0.0),
         )
-        free = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return s["ok"] & free & (score > 0)
+        hit = touches(bases[KINDS[0]], s)
+        for kind_name in KINDS[1:]:
+            hit = hit | touches(bases[kind_name], s)
+        return s["ok"] & (score > 0) & ~hit
 
     further = F.filter(spans, lambda s: ~s["base"])
-    chosen = F.when(F.size(further) > 0, F.concat(base, F.filter(further, good))).otherwise(base)
+    bases = F.struct(*[spans_of.alias(k) for spans_of, k in zip(of_kind, KINDS, strict=True)])
+    added = let(bases, lambda every: F.filter(further, lambda s: good(s, every)))
+    chosen = F.when(F.size(further) > 0, F.concat(base, added)).otherwise(base)
     return F.array_sort(F.transform(chosen, lambda s: F.struct(s["start"], s["kind"], s["end"], s["base"])))
 
 
@@ -363,7 +424,8 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with every span of its text replaced by its kind in brackets, such as ``[EMAIL]``.
 
     Overlapping spans are replaced as one, named after the one that begins
-    first. NULL texts stay NULL; all columns keep their names and order.
+    first. NULL texts stay NULL and empty texts empty; repeated rows are answered row by row, an empty table gives an
+    empty result. All columns keep their names and order.
     """
     # Inside, columns go by number, so that no name of theirs clashes.
     originals = docs.columns
@@ -375,21 +437,25 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     marked = found.select(*[F.col(f"`{c}`") for c in docs.columns], accepted(F.col("spans"), model).alias("marked"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col(f"`{text_column}`")
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    pieces = F.aggregate(
-        spans,
-        start,
-        lambda acc, s: F.when(
-            s["start"] >= acc["pos"],
-            F.struct(
-                s["end"].alias("pos"),
-                F.concat(
-                    acc["out"],
-                    F.array(text.substr(acc["pos"] + 1, s["start"] - acc["pos"]), F.element_at(names, s["kind"] + 1)),
-                ).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["out"].alias("out"))),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["pos"] + 1, F.length(text))),
-    )
+    ends = F.transform(spans, lambda s: s["end"])
+    last = F.array_max(ends)
+
+    def cut(blocks: Column, begin: Column, end: Column) -> Column:
+        """Characters ``begin`` to ``end`` from blocks of ``CHARACTERS``."""
+        first = F.floor(begin / CHARACTERS).cast("int")
+        many = F.floor(end / CHARACTERS).cast("int") - first + 1
+        return F.array_join(F.slice(blocks, first + 1, many), "").substr(begin - first * CHARACTERS + 1, end - begin)
+
+    def replaced(blocks: Column, reached: Column) -> Column:
+        parts = F.transform(
+            spans,
+            lambda s, i: F.when(
+                s["start"] >= reached[i], F.concat(cut(blocks, reached[i], s["start"]), F.element_at(names, s["kind"] + 1))
+            ).otherwise(F.lit("")),
+        )
+        return F.concat(F.array_join(parts, ""), cut(blocks, last, F.length(text)))
+
+    in_blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHARACTERS}}}"), F.lit(0))
+    pieces = let(in_blocks, lambda blocks: let(scan_before(ends, F.lit(0), F.greatest), lambda reached: replaced(blocks, reached)))
     changed = F.when(F.size(spans) > 0, pieces).otherwise(text).alias(text_column)
     return marked.select(*[changed if c == text_column else F.col(c) for c in docs.columns]).toDF(*originals)

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from residualkit.llm import pii, quality, toxicity
 
@@ -52,6 +53,10 @@ ODD = [
     "%" * 3000 + "@x.y " + "1 2 3 " * 5000,
     "+1" + " " * 3000,
     "@@@@ a@b a@b. a@b.c.",
+    "12 x " * 20000,
+    " ".join(f"u{i}@h{i % 97}.com" for i in range(6000)) + " 4111-1111-1111-1111 " + "1-2 3" * 400,
+    "-4111111111111111 5 4111111111111111 - 4111111111111111- 4111111111111111 1 2 3 4 5 6 7 8 9 0 1 2 3 4",
+    " ".join(f"+1 (415) 555-{1000 + i} or (415) 555-{1000 + i} at 10.0.{i % 256}.{i % 200}" for i in range(1500)),
 ]
 
 
@@ -85,6 +90,37 @@ def test_redaction_keeps_everything_else(spark):
     assert sorted(map(tuple, got.collect())) == [(1, "mail [EMAIL] or [PHONE]!", "x"), (2, None, "y"), (3, "😀 [IP]", "z")]
 
 
+def redacted(text, spans):
+    """Spans as ``kind:start:end``, in order; overlapping ones as one, named after the first."""
+    out, at = [], 0
+    for kind, start, end in (s.split(":") for s in spans.split(",") if s):
+        if int(start) >= at:
+            out += [text[at : int(start)], f"[{kind.upper()}]"]
+        at = max(at, int(end))
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_odd_and_long_texts(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(0, None, "y")], "doc_id long, text string, s0 string")
+    spans = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
+    got = pii.redact(df).collect()
+    assert len(got) == len(ODD) + 1
+    for r in got:
+        assert r.text == (None if ODD[r.doc_id] is None else redacted(ODD[r.doc_id], spans[r.doc_id])), r.doc_id
+    assert pii.redact(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 101])
+def test_running_values_in_blocks(spark, n):
+    values = [(i * 37) % 11 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    sums, highs = df.select(
+        pii.scan_before(F.col("v"), F.lit(0), lambda a, b: a + b), pii.scan_before(F.col("v"), F.lit(0), F.greatest)
+    ).first()
+    assert sums == [sum(values[:i]) for i in range(n)]
+    assert highs == [max([0, *values[:i]]) for i in range(n)]
+
+
 def test_reliabilities_find_the_good_labelers():
     """Labelers 0 and 1 agree with a hidden truth, labeler 2 is noise."""
     rng = np.random.default_rng(1)
