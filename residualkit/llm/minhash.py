@@ -41,6 +41,7 @@ from residualkit.llm.words import hashed_runs, shingle_set, text_buffer
 from residualkit.staging import stage
 
 SLACK = 0.22
+DROPPED_AT_MOST = 1 << 20
 CHUNK = 64
 CHUNKED = ("ids", "comps", "signs", "sets")
 COLUMNS = 8192
@@ -219,6 +220,19 @@ def near_duplicates(
     return answered.unionByName(nameless)
 
 
+def without_near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", k: int = 5, percent: int = 80, ids_at_most: int = DROPPED_AT_MOST
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group of near-duplicates, with all their columns.
+
+    The ids that go are broadcast if there are at most ``ids_at_most``, so that texts are not shuffled; more are joined by a
+    shuffle. Rows with a NULL id stay, rows that repeat an id stay or go together. An empty table gives an empty result.
+    """
+    answered = near_duplicates(docs, id_column, k=k, percent=percent)
+    gone = stage(answered.filter("not kept").select(id_column), "duplicate_ids")
+    return docs.join(F.broadcast(gone) if gone.count() <= ids_at_most else gone, id_column, "left_anti").select(*docs.columns)
+
+
 def _links(leads: DataFrame, texts: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
     """Links between representatives that give all components: those found first, as stars, and those across them."""
     width = 4 * rows

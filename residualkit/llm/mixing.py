@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residualkit.llm.frames import known
+from residualkit.operators.lookup import lookup_join
 from residualkit.staging import stage
 
 SLICES = 4096
@@ -156,8 +157,13 @@ def mix(
     and documents without tokens are taken where the prefix has not ended
     before them. Rows with a NULL id are ordered as an empty id. Repeated rows
     are documents of their own; rows of equal id stand next to each other in
-    every epoch, longer ones first. An empty table gives an empty result.
+    every epoch, longer ones first. An empty table gives an empty result. Columns
+    that are neither named here nor in ``keep`` are not looked at; one in ``keep`` that is also a column of the
+    result must be one of ``doc_id, lang, source``, which are returned once, NULL as the empty text.
     """
+    clashing = {"domain", "epoch", "tokens", "taken"} & set(keep)
+    if clashing:
+        raise ValueError(f"columns {sorted(clashing)} of the result cannot be kept from the documents")
     source = F.col("source")
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"{N}keep_{i}") for i, c in enumerate(keep)],
@@ -179,7 +185,6 @@ def mix(
         ),
         "mix_plan",
     )
-    # Leaves are few beside documents, but unbounded: plain joins, split by Spark where a leaf is hot.
     placed = _placed(narrow, plan, seed)
     sums = stage(placed.groupBy(*LEVELS, "slice").agg(F.sum("tokens").alias("t"), F.max("rest").alias("rest")), "mix_slices")
     upto = Window.partitionBy(*LEVELS).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,7 +193,8 @@ def mix(
         ends.groupBy(*LEVELS).agg(F.max("slice").alias("last"), F.max_by("before", "slice").alias("before")), "mix_ends"
     )
     source_rows = rows if keep else narrow
-    chosen = _placed(source_rows, plan.join(last, list(LEVELS), "left"), seed).filter("whole > 0 or slice <= last")
+    ended = stage(plan.join(last, list(LEVELS), "left"), "mix_ended")
+    chosen = _placed(source_rows, ended, seed).filter("whole > 0 or slice <= last")
     partial = chosen.withColumn("epoch", F.col("whole").cast("int"))
     times = F.col("whole") + F.coalesce((F.col("slice") < F.col("last")).cast("int"), F.lit(0))
     inside = chosen.withColumn("_times", times.cast("int")).filter("_times > 0")
@@ -215,7 +221,11 @@ def _positive(leaves: DataFrame, weights: Mapping[tuple[str, ...], int]) -> Data
 
 
 def _placed(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Rows with their leaf's plan, their key in the epoch that is taken in part, and its slice."""
-    joined = rows.join(plan, list(LEVELS))
+    """Rows with their leaf's plan, their key in the epoch that is taken in part, and its slice.
+
+    A plan has one row a leaf. It is broadcast if it is small, so rows are not dealt by leaf; otherwise
+    leaves with many rows are split.
+    """
+    joined = lookup_join(rows, plan, list(LEVELS)).filter("whole is not null")
     keyed = joined.withColumn("key", order_key(seed, F.col("whole"), F.col("doc_id")))
     return keyed.withColumn("slice", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))

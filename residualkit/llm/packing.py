@@ -40,7 +40,7 @@ from residualkit.llm.frames import first_columns, stage_python
 
 CAPACITY = 2048
 END = 0
-_WIDE = re.compile("[^\\x00-\u024f]")
+_WIDE = re.compile("[^\\x00-\u024f]|\\s{512}")
 
 
 class ByteEncoder:
@@ -48,8 +48,9 @@ class ByteEncoder:
 
     The ids are those of the ``tokenizers`` file. They are made by a faster
     encoder from the same vocabulary's rank file and pattern; a text that holds
-    a special token, or a character above U+024F, where two libraries may know
-    different character classes, goes to ``tokenizers`` itself.
+    a special token, a character above U+024F, where two libraries may know
+    different character classes, or a long run of white space, which the faster one cannot
+    take, goes to ``tokenizers`` itself.
     """
 
     def __init__(self, tokenizer_file: str, rank_file: str, pattern: str) -> None:
@@ -63,7 +64,7 @@ class ByteEncoder:
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
 
     def plain(self, text: str) -> bool:
-        return (text.isascii() or not _WIDE.search(text)) and not any(s in text for s in self.special)
+        return not _WIDE.search(text) and not any(s in text for s in self.special)
 
     def encode(self, text: str) -> bytes:
         if self.plain(text):

@@ -49,6 +49,10 @@ class Weights:
     bias: float
     bits: int
 
+    @property
+    def learned(self) -> bool:
+        return len(self.buckets) > 0 or self.bias != 0
+
     def dense(self) -> np.ndarray:
         full = np.zeros(1 << self.bits)
         full[self.buckets] = self.values
@@ -169,5 +173,29 @@ def score_toxicity(docs: DataFrame, weights: Weights) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Fit on the labelled rows that are not held out, then score every document."""
+    """Fit on the labelled rows that are not held out, then score every document.
+
+    An empty table gives an empty result. Columns other than ``doc_id`` and ``text`` are not looked at.
+    """
     return score_toxicity(docs, fit_toxicity(docs, labels))
+
+
+def _kept(batches: Iterator[pa.RecordBatch], weights: Weights, text: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        only = pa.RecordBatch.from_arrays([batch.column(text)] * 2, names=["id", "text"])
+        for scored in _score(iter([only]), weights):
+            yield batch.filter(pa.array(scored.column("score").to_numpy() < 0.5))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, with all their columns.
+
+    Each row is judged by its own text, in the pass that scores it, so rows are not shuffled; of rows that repeat an id some may go and
+    some stay. Rows with a NULL id, a NULL text or an empty text are judged like any other. An empty table gives an empty result.
+    Without any labelled row nothing is learned and nothing rejected.
+    """
+    weights = fit_toxicity(docs, labels)
+    if not weights.learned:
+        return docs
+    keep = partial(_kept, weights=weights, text=docs.columns.index("text"))
+    return stage_python(docs.mapInArrow(keep, docs.schema), "not_toxic", 512)

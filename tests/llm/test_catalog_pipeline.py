@@ -1,12 +1,19 @@
 """Named queries against their SQL, and the pipeline stage by stage."""
 
+import zlib
+from collections import Counter, defaultdict
+
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
+from test_near_duplicates import brute_documents
+from test_pii_classifiers import redacted
 
 import corpus_pipeline
-from residualkit.llm import catalog
+from residualkit.llm import catalog, packing, pii, toxicity
 from residualkit.llm.frames import table
 from residualkit.llm.mixing import word_count
 
@@ -58,6 +65,70 @@ def test_rows_without_id_pass_the_filters(spark):
         assert stage(spark, docs, SMALL).count() == 2, name
 
 
+ROWS = "doc_id long, text string, lang string, source string, n_chars long, epoch int, spans string"
+
+
+def odd_documents(spark):
+    """Nulls in every column, repeated rows and ids, empty and very long texts, and columns with names of the operators."""
+    texts = ["plain words that say nothing special at all", None, "", "mail a@b.co now", "word " * 40_000, " " * 5000]
+    rows = [(i, t, "en", "s", 1, 1, "x") for i, t in enumerate(texts)]
+    rows += [(0, texts[0], "en", "s", 1, 1, "x"), (0, "another text of the same id, quite different", None, None, None, None, None)]
+    rows += [(None, texts[0], None, "s", None, 2, None), (90, texts[0], "de", None, 5, 3, "y")]
+    return spark.createDataFrame(rows, ROWS)
+
+
+def test_stages_take_odd_rows_and_no_rows(spark):
+    docs = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SMALL)
+        if name != "packing":
+            assert got.columns == corpus_pipeline.COLUMNS, name
+        ids = {r.doc_id for r in got.select("doc_id").collect()}
+        if name != "mixing":
+            assert ids == {0, 1, 2, 3, 4, 5, None} | (set() if name == "minhash_dedup" else {90}), name
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name
+
+
+def plain_pipeline(spark):
+    """The stages chained by their plain versions: row by row and pair by pair, on what the one before kept."""
+    docs = table(spark, SMALL, "documents")
+    weights = toxicity.fit_toxicity(docs, table(spark, SMALL, "labels"))
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, weights).collect()}
+    rows = [r for r in docs.collect() if scores[r.doc_id] < 0.5]
+    found = brute_documents([(r.doc_id, r.text) for r in rows], 5, 80)
+    rows = [r for r in rows if found[r.doc_id][1] == r.doc_id]
+    kept = spark.createDataFrame(rows, docs.schema)
+    spans = {r.doc_id: r.spans for r in pii.personal_data(kept).collect()}
+    texts = {r.doc_id: None if r.text is None else redacted(r.text, spans[r.doc_id]) for r in rows}
+    clean = [(r.doc_id, texts[r.doc_id], r.lang, r.source, len(texts[r.doc_id] or "")) for r in rows]
+    return texts, clean
+
+
+def test_pipeline_equals_its_plain_stages(spark):
+    texts, clean = plain_pipeline(spark)
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame(clean, columns=corpus_pipeline.COLUMNS))
+    taken = connection.execute(catalog.ORACLE_SQL["op2_mix"]).df()
+    encode = packing.encoder(*packing.tokenizer_files()).full.encode
+    want = Counter()
+    for doc_id in taken.doc_id:
+        ids = [*encode(texts[doc_id] or "", add_special_tokens=False).ids, 0]
+        for piece, (start, length) in enumerate(packing.cut(len(ids), packing.CAPACITY)):
+            want[doc_id, piece, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())] += 1
+    packed = corpus_pipeline.run(spark, SMALL).collect()
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed)
+    assert got == want
+    ends = defaultdict(list)
+    for r in packed:
+        ends[r.sequence_id].append((r.offset, r.length))
+    for own in ends.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+
+
 def test_entry_lists_all_queries():
     import __spark_entry__
 

@@ -141,3 +141,17 @@ def test_pack_round_trip(spark, encoder):
         ends = np.cumsum([0, *[n for _, n in sorted(places)]])
         assert [o for o, _ in sorted(places)] == ends[:-1].tolist() and ends[-1] <= 2048
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_long_runs_of_blanks_are_packed(spark, encoder):
+    texts = [" " * 300_000, "a" + "\n" * 2000 + "b", "\t " * 5000]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == encoder.full.encode(text, add_special_tokens=False).ids
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in packing.pack(df).collect()} == {0, 1, 2}
+
+
+def test_columns_of_the_mixture_cannot_be_kept(spark):
+    df = spark.createDataFrame([(1, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, tokens int")
+    with pytest.raises(ValueError, match="tokens"):
+        mixing.mix(df, {}, keep=["text", "tokens"])
