@@ -104,6 +104,13 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
 
 def clear_staged(spark: SparkSession) -> bool:
     """Delete what this application, or the current scope, staged. Call once its results are written."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(staged_folder(spark))
+    return delete_staged(spark, staged_folder(spark))
+
+
+def delete_staged(spark: SparkSession, path: str) -> bool:
+    """Delete a folder below this application's staging folder; no other folder is touched."""
+    if not path.startswith(f"{checkpoint_root(spark)}/residualkit/{spark.sparkContext.applicationId}"):
+        raise ValueError(f"{path} is not in the staging folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return system.delete(folder, True)
