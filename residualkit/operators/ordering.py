@@ -87,13 +87,13 @@ def number_and_previous(
     total = counts.agg(F.sum("_rows")).first()[0] or 0
     heavy = counts.filter(F.col("_rows") >= max(2, -(-total // HEAVY_GROUPS))).select(group)
     if not heavy.head(1):
-        return _by_window(rows, group, order, previous, number)
+        return numbered_by_window(rows, group, order, previous, number)
     hot = F.broadcast(heavy)
-    cold = _by_window(rows.join(hot, group, "left_anti").select(*df.columns), group, order, previous, number)
+    cold = numbered_by_window(rows.join(hot, group, "left_anti").select(*df.columns), group, order, previous, number)
     return cold.unionByName(_by_blocks(rows.join(hot, group, "left_semi").select(*df.columns), group, order, previous, number))
 
 
-def _by_window(
+def numbered_by_window(
     rows: DataFrame, group: str, order: Sequence[str], previous: Mapping[str, str], number: str
 ) -> DataFrame:
     """Number and previous values by a window over each group; none for rows without a group."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,19 @@ from residualkit.functions.names import suffix_columns
 from residualkit.operators.lookup import keyed_join
 
 
+def require_unique(frames: Mapping[str, tuple[DataFrame, str]]) -> None:
+    """Raise if a frame has two rows of one key: joined to others, they would multiply rows silently.
+
+    ``frames`` maps a name to a frame and its key column. One aggregation of the keys alone checks all of them;
+    missing keys are not compared.
+    """
+    keys = [df.select(F.lit(name).alias("frame"), F.col(key).cast("string").alias("key")) for name, (df, key) in frames.items()]
+    counted = reduce(DataFrame.union, keys).filter("key is not null").groupBy("frame", "key").agg(F.count(F.lit(1)).alias("n"))
+    twice = counted.filter("n > 1").head(1)
+    if twice:
+        raise ValueError(f"{twice[0]['frame']} has {twice[0]['n']} rows with the key {twice[0]['key']}")
+
+
 def align_snapshots(first: DataFrame, second: DataFrame, key: str, suffix: str, how: str = "left") -> DataFrame:
     """One row per entity with the columns of ``first`` and suffixed twins from ``second``.
 

@@ -89,6 +89,7 @@ from residualkit.operators.target_encoding import apply_encodings, fit_target_en
 from residualkit.plans.features import FeatureFrames, FeatureSpec, build_features
 from residualkit.plans.scoring import forecast, horizon_rows, submission
 from residualkit.plans.training import Trained, train
+from residualkit.sources.buckets import join_bucketed, number_bucketed, write_bucketed
 from residualkit.sources.config import TrainConfig
 from residualkit.sources.quarantine import read_quarantined
 from residualkit.sources.tables import read_table, write_submission, write_table
@@ -286,6 +287,17 @@ def attached_properties(spark, sf_dir):
     return _rounded(attach_properties(tx, listed, ["parcel", "snapshot_year"]), sparse=REGIONS)
 
 
+def bucketed_history(spark, sf_dir):
+    """Sales numbered within their parcel and joined to its property row, from tables bucketed by the parcel."""
+    tx = sales(spark, sf_dir).select("row_key", "parcel", "dt", "observed")
+    listed = first_snapshot(spark, sf_dir).withColumnRenamed("parcelid", "parcel").select("parcel", "balancecnt", "usecode")
+    sold = write_bucketed(tx, "parcel", 8, ORDER)
+    numbered = number_bucketed(sold, ORDER, {"prev_logerror": "observed"}, "number", spark)
+    again = write_bucketed(numbered, "parcel", 8, ORDER)
+    joined = join_bucketed(again, write_bucketed(listed, "parcel", 8, split_heavy=False), spark)
+    return _rounded(joined.drop("dt"))
+
+
 def scoring_rows(spark, sf_dir):
     """Template keys times target years times months, with the calendar columns."""
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("parcel"))
@@ -978,6 +990,7 @@ QUERIES: dict[str, Query] = {
     "stack_snapshots": stacked_snapshots,
     "cross_fill": cross_fill,
     "attach_property": attached_properties,
+    "bucketed_history": bucketed_history,
     "scoring_rows": scoring_rows,
     "union_years": union_years,
     "collapse_rare": collapse_rare,

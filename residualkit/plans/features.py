@@ -19,6 +19,7 @@ from residualkit.operators.snapshots import (
     align_snapshots,
     attach_properties,
     fit_cross_fill,
+    require_unique,
     stack_snapshots,
     union_by_name,
 )
@@ -136,10 +137,12 @@ def build_features(
     """Run the feature job.
 
     ``sales`` need a ``row_id`` that is unique over all years; it breaks ties between sales of
-    one day. Both years travel in one frame with a ``snapshot_year`` column, so
+    one day. A key that a snapshot or the template holds twice is an error. Both years travel in one frame with a ``snapshot_year`` column, so
     every join and every statistic is done once for both. Fold numbers and sale
     history are taken from the narrow sales table before anything wide is joined.
     """
+    unique = {f"the snapshot of {y}": (df, spec.key) for y, df in snapshots.items()}
+    require_unique({**unique, "the template": (template, spec.score_key)})
     properties = clean_properties(snapshots, spec)
 
     order = ["_date", spec.row_id]

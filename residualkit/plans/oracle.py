@@ -633,6 +633,12 @@ ORACLE_SQL: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "trim": f"with {TX} select row_key, round(observed, 6) as observed from tx where abs(observed) <= 1",
+    "bucketed_history": f"""with {TX}, {SNAPSHOTS}
+        select row_key, parcel, round(observed, 6) as observed,
+               row_number() over (partition by parcel order by dt, row_key) as number,
+               round(lag(observed) over (partition by parcel order by dt, row_key), 6) as prev_logerror,
+               round(balancecnt, 6) as balancecnt, usecode
+        from tx left join first_list on parcelid = parcel""",
     "read_quarantined": """with lines as (
           select o_orderkey as k, o_custkey as c, cast(o_orderdate as date) as d,
                  k % 97 = 0 or k % 89 = 1 or k % 83 = 2 as malformed, k % 79 = 3 as keyless,

@@ -65,3 +65,11 @@ def test_key_years_and_union(spark):
     a = spark.createDataFrame([(1, "a")], "k long, s string")
     b = spark.createDataFrame([(2.5, 2)], "x double, k long")
     assert rows(snapshots.union_by_name([a, b]), "k") == [(1, "a", None), (2, None, 2.5)]
+
+
+def test_a_key_listed_twice_is_an_error(spark):
+    good = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k long, v string")
+    bad = good.unionByName(good.filter("k = 2"))
+    snapshots.require_unique({"first": (good, "k"), "names": (good, "v")})
+    with pytest.raises(ValueError, match="second has 2 rows with the key 2"):
+        snapshots.require_unique({"first": (good, "k"), "second": (bad, "k")})
