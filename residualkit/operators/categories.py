@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 
 from residualkit.functions.names import grouping_mark
 from residualkit.functions.scalars import text_or_nan
-from residualkit.operators.lookup import lookup_chain, table_bytes
+from residualkit.operators.lookup import broadcast_limit, lookup_chain, set_sizes
 from residualkit.operators.ordering import row_index
 from residualkit.operators.snapshots import union_by_name
-from residualkit.staging import stage_measured
+from residualkit.staging import size_columns, size_of, stage_measured
 
 
 @dataclass(frozen=True)
 class RareCategories:
-    """Per column: a staged list of rare values and the value that stands for them all."""
+    """Per column: a staged list of rare values, a bound on its bytes, and the value that stands for them all."""
 
     tables: Mapping[str, DataFrame]
-    table_size: int
+    sizes: Mapping[str, int]
     replacements: Mapping[str, object]
 
     def apply(self, df: DataFrame, twins: Mapping[str, str] | None = None) -> DataFrame:
@@ -32,7 +32,7 @@ class RareCategories:
             (self.tables[s].withColumnRenamed(s, c).withColumn(f"_rare_{i}", F.lit(True)), [c], False)
             for i, (c, s) in enumerate(sources.items())
         ]
-        joined = lookup_chain(df, tables, [self.table_size] * len(tables))
+        joined = lookup_chain(df, tables, [self.sizes[s] for s in sources.values()])
         values = {
             c: F.when(F.col(f"_rare_{i}"), F.lit(self.replacements[s]).cast(df.schema[c].dataType)).otherwise(F.col(c))
             for i, (c, s) in enumerate(sources.items())
@@ -59,15 +59,18 @@ def fit_rare(df: DataFrame, columns: Sequence[str], threshold: int = 100) -> Rar
     tables = {
         c: rare.filter((F.col("_set") == marks[c]) & F.col(c).isNotNull()).select(c) for c in replacements
     }
-    return RareCategories(tables, size, replacements)
+    # One list too large to broadcast does not send the others through a shuffle.
+    measured = set_sizes(rare) if size > broadcast_limit(df.sparkSession) else {}
+    sizes = {c: measured.get(marks[c], 0) if measured else size for c in replacements}
+    return RareCategories(tables, sizes, replacements)
 
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """Per column: a staged table from text to its rank in sorted order."""
+    """Per column: a staged table from text to its rank in sorted order, and its bytes."""
 
     tables: Mapping[str, DataFrame]
-    table_size: int
+    sizes: Mapping[str, int]
 
     def apply(self, df: DataFrame, unseen: str = "error") -> DataFrame:
         """Replace text by codes. A value that was not learned is an error at run
@@ -81,7 +84,7 @@ class LabelCodes:
             (table.withColumnsRenamed({"_text": f"_text_{i}", "_code": f"_code_{i}"}), [f"_text_{i}"], False)
             for i, table in enumerate(self.tables.values())
         ]
-        joined = lookup_chain(keyed, tables, [self.table_size] * len(tables))
+        joined = lookup_chain(keyed, tables, [self.sizes[c] for c in self.tables])
         codes = {}
         for i, column in enumerate(self.tables):
             codes[column] = F.col(f"_code_{i}")
@@ -98,11 +101,13 @@ def fit_labels(frames: Sequence[DataFrame], columns: Sequence[str]) -> LabelCode
     over the distinct values, so their number is not limited by one task.
     """
     if not columns:
-        return LabelCodes({}, 0)
+        return LabelCodes({}, {})
     pairs = [F.struct(F.lit(c).alias("_column"), text_or_nan(c).alias("_text")) for c in columns]
     values = union_by_name([frame.select(F.inline(F.array(*pairs))) for frame in frames]).distinct()
     ranked = row_index(values, ["_column", "_text"], "_index")
-    firsts = dict(ranked.groupBy("_column").agg(F.min("_index")).collect())
+    measured = ranked.groupBy("_column").agg(F.min("_index").alias("_first"), *size_columns(ranked.schema)).collect()
+    firsts = {r["_column"]: r["_first"] for r in measured}
+    sizes = {r["_column"]: size_of(list(r)[2:], len(ranked.columns)) for r in measured}
     tables = {
         c: ranked.filter(F.col("_column") == c).select(
             "_text", (F.col("_index") - firsts[c]).cast("int").alias("_code")
@@ -110,4 +115,4 @@ def fit_labels(frames: Sequence[DataFrame], columns: Sequence[str]) -> LabelCode
         for c in columns
         if c in firsts
     }
-    return LabelCodes(tables, table_bytes(ranked))
+    return LabelCodes(tables, sizes)
