@@ -70,18 +70,27 @@ def keyed_join(
     on: Sequence[str],
     null_safe: bool = False,
     heavy: list[Row] | None = None,
+    apart: bool = False,
 ) -> DataFrame:
     """Left join to a large table with one row per key, safe against hot keys in ``df``.
 
     Without ``heavy``, ``df`` is read once more for its key counts; stage it
     first if it is expensive to compute, or count before a chain of joins with
-    :func:`heavy_keys_of`.
+    :func:`heavy_keys_of`. With ``apart``, rows of heavy keys are not shuffled at all: they are answered
+    in a part of their own, and ``df`` is read once for each part. In a chain of joins the parts would
+    double with each join, so there the rows stay together and heavy ones are spread by a salt.
     """
     keys = heavy_keys(df, on) if heavy is None else heavy
     if not keys:
         return left_join(df, table, on, null_safe)
     spark = df.sparkSession
     heavy = spark.createDataFrame(keys, df.select(*on).schema)
+    if apart:
+        flag = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+        few = left_join(table, flag, on, null_safe=True).filter("_heavy").drop("_heavy")
+        flagged = left_join(df, flag, on, null_safe=True)
+        hot_rows = left_join(flagged.filter("_heavy").drop("_heavy"), F.broadcast(few), on, null_safe)
+        return left_join(flagged.filter("_heavy is null").drop("_heavy"), table, on, null_safe).unionByName(hot_rows)
     payload = [c for c in table.columns if c not in on]
     packed = table.select(*on, F.struct(*payload).alias("_value"))
 

@@ -88,7 +88,7 @@ def attach_properties(rows: DataFrame, properties: DataFrame, on: Sequence[str])
 
     ``properties`` has one row per key; ``rows`` may repeat a key any number of times.
     """
-    return keyed_join(rows, properties, on)
+    return keyed_join(rows, properties, on, apart=True)
 
 
 def key_years(keys: DataFrame, years: Sequence[int], year_name: str) -> DataFrame:

@@ -67,3 +67,18 @@ def test_table_bytes_counts_texts_and_arrays(spark):
     short = spark.createDataFrame([(1, "a", [1.0])], "k long, s string, a array<double>")
     long = spark.createDataFrame([(1, "a" * 1000, [1.0] * 100)], "k long, s string, a array<double>")
     assert lookup.table_bytes(long) - lookup.table_bytes(short) == 999 + 99 * 9
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_rows_of_hot_keys_are_answered_apart(spark, null_safe):
+    left = [(i, "hot" if i % 3 else (None if i % 2 else f"k{i}")) for i in range(300)]
+    df = spark.createDataFrame(left, "i int, k string")
+    table = spark.createDataFrame([("hot", 1), ("k0", 2), ("k6", 3), (None, 4)], "k string, v int")
+    with no_broadcast(spark):
+        got = lookup.keyed_join(df, table, ["k"], null_safe, apart=True)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        values = dict(table.collect())
+        want = [(i, k, values.get(k) if k is not None or null_safe else None) for i, k in left]
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == want
+    # Only the light rows, and their side of the table, are exchanged.
+    assert plan.count("Exchange hashpartitioning") == 2
