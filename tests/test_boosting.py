@@ -49,7 +49,7 @@ def test_leaves_are_medians_and_the_loss_falls(spark, boosted):
 
 def test_a_continued_fit_equals_a_longer_one(boosted):
     _, df, learner, fit = boosted
-    longer, whole = fit.more(2), learner.start(df).more(5)
+    longer, whole = fit.more(1), learner.start(df).more(4)
     for a, b in zip(longer.trees, whole.trees, strict=True):
         assert a.values == pytest.approx(b.values)
     assert longer.trees[:3] == fit.trees
