@@ -137,6 +137,26 @@ def test_vectors_equal_brute_force(spark, tile):
     assert got == {i: (count[i], comp.get(i, i), comp.get(i, i) == i) for i in single}
 
 
+@pytest.mark.parametrize("group_bytes", [1, 16 * 24 * 8 * 3, 1 << 25])
+def test_groups_of_tiles_lose_no_link(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(embedding_dedup, "GROUP_BYTES", group_bytes)
+    test_vectors_equal_brute_force(spark, 16)
+
+
+def test_groups_of_a_label_are_few_and_bounded(spark):
+    schema = "tile long, part int, seq int, label string, dims int, low array<double>, high array<double>"
+    rows = [(p << 32 | i, p, i, "hot", 64, [0.0], [1.0]) for p in range(4) for i in range(50)]
+    rows += [(9 << 32, 9, 0, "cold", 64, [0.0], [1.0])]
+    tiles = spark.createDataFrame(rows, schema)
+    found = embedding_dedup.group_tiles(tiles, 50, 1024).collect()
+    hot = sorted((r.tile, r.grp, r["last"]) for r in found if r.label == "hot")
+    assert [g for _, g, _ in hot] == [i // 20 for i in range(200)] and {n for _, _, n in hot} == {9}
+    assert [(r.grp, r["last"]) for r in found if r.label == "cold"] == [(0, 0)]
+    # 64 dimensions: 512 KB a tile, so 64 tiles a group at most.
+    few = embedding_dedup.group_tiles(tiles, 1, 1024).groupBy("label", "grp").count().collect()
+    assert max(r["count"] for r in few) == embedding_dedup.GROUP_BYTES // (1024 * 64 * 8)
+
+
 def test_vectors_without_id_and_no_vectors(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1)], "vec_id long, embedding array<float>, label int")
     got = sorted(embedding_dedup.near_duplicate_vectors(df).collect(), key=str)
