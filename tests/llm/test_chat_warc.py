@@ -125,3 +125,85 @@ def test_page_ids_come_back_from_record_ids():
     for page in (0, 1, -1, -5, 1 << 62, -(1 << 63)):
         assert warc.page_of(warc.record_id(page)) == page
     assert warc.page_of(warc.record_id(None)) is None
+
+
+def foreign(kind, block, *extra, version=b"WARC/1.0"):
+    lines = [f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:12345678-0000-1111-2222-333333333333>", "WARC-Date: 2020-01-01T00:00:00Z"]
+    head = "\r\n".join([*lines, f"content-length: {len(block)}", *extra]).encode()
+    return version + b"\r\n" + head + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = "Content-Type: application/http; msgtype=response"
+SHA256 = "WARC-Payload-Digest: sha256:" + hashlib.sha256(b"body").hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("raw", "kind", "payload"),
+    [
+        (foreign("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"), "warcinfo", b"software: x\r\n"),
+        (foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", HTTP), "request", b""),
+        (foreign("metadata", b""), "metadata", b""),
+        (foreign("resource", b"body", SHA256), "resource", b"body"),
+        (foreign("response", b"HTTP/1.1 200 OK\r\nA: b\r\n c\r\n\r\nbody", HTTP, SHA256), "response", b"body"),
+        (foreign("response", b"HTTP/1.1 200 OK\r\n\r\nbody", HTTP, "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>"), "response", b"body"),
+        (foreign("response", b"HTTP/1.1 200\r\nTransfer-Encoding: chunked\r\n\r\n4\r\nbody\r\n0\r\n\r\n", HTTP, SHA256), "response", b"4\r\nbody\r\n0\r\n\r\n"),
+        (foreign("response", b"HTTP/1.1 200\r\nContent-Length: 9\r\n\r\nbody", HTTP, "WARC-Truncated: length"), "response", b"body"),
+        (foreign("response", b"HTTP/1.1 200\r\n\r\nbody", HTTP, "WARC-Payload-Digest: other:zz", version=b"WARC/1.1"), "response", b"body"),
+        (foreign("revisit", b"", HTTP, "WARC-Payload-Digest: sha1:" + "A" * 32), "revisit", None),
+    ],
+)
+def test_records_of_other_writers(raw, kind, payload):
+    record = warc.parse_record(raw)
+    assert (record.headers["WARC-Type"], record.payload) == (kind, payload)
+    assert warc.page_of(record.headers["WARC-Record-ID"]) is None
+    if payload is not None:
+        assert (record.payload_bytes, record.digest) == (len(payload), hashlib.sha1(payload).hexdigest())
+
+
+@pytest.mark.parametrize(
+    "raw",
+    [
+        foreign("resource", b"bodies", SHA256),
+        foreign("response", b"HTTP/1.1 200\r\nContent-Length: 9\r\n\r\nbody", HTTP),
+        foreign("response", b"no header", HTTP),
+        foreign("metadata", b"", "WARC-Type: resource"),
+        foreign("metadata", b"", "no colon"),
+        foreign("revisit", b"", HTTP),
+    ],
+)
+def test_broken_records_of_other_writers_are_errors(raw):
+    with pytest.raises(ValueError):
+        warc.parse_record(raw)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    dictionary = b"dictionary " * 20
+    raw = [foreign("warcinfo", b"a: b\r\n"), archive()[0][1]]
+    with_dictionary = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+    packed = zstandard.ZstdCompressor().compress(dictionary)
+    head = (0x184D2A5D).to_bytes(4, "little") + len(packed).to_bytes(4, "little") + packed
+    (tmp_path / "a.warc.zst").write_bytes(head + b"".join(with_dictionary.compress(r) for r in raw))
+    (tmp_path / "b.warc.zst").write_bytes(b"".join(zstandard.ZstdCompressor().compress(r) for r in raw))
+    (tmp_path / "c.warc.zst").write_bytes(b"")
+    archives = spark.createDataFrame([(str(tmp_path / f"{n}.warc.zst"),) for n in "abc"], "archive string")
+    got = warc.read_archives(archives, need_dictionary=False).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.payload_bytes) for r in got) == [(0, "warcinfo", 6)] * 2 + [(1, "response", 100)] * 2
+    with pytest.raises(ValueError):
+        list(warc.read_archive(open(tmp_path / "b.warc.zst", "rb")))
+
+
+def test_archives_are_bounded_in_records_and_bytes(spark):
+    rows = [(i, "u", "x" * 5000 + str(i)) for i in range(40)]
+    df = spark.createDataFrame([(*r, "d", "a") for r in rows], PAGES).coalesce(1)
+    folder = f"{warc.staged_folder(spark)}/test-bounded-{id(df)}"
+    by_count = warc.write_archives(warc.plan_records(df).coalesce(1), folder, 16)
+    assert sorted(r.records for r in by_count.collect()) == [8, 16, 16]
+    by_bytes = warc.write_archives(warc.plan_records(df).coalesce(1), folder, 1000, 30_000)
+    written = by_bytes.collect()
+    assert max(r.records for r in written) == 6
+    for r in written:
+        with open(r.archive.removeprefix("file:"), "rb") as file:
+            data = file.read()
+        assert len(data) == r.bytes and int.from_bytes(data[:4], "little") == 0x184D2A5D
+        assert all(raw.startswith(b"WARC/1.1") for raw in warc.read_archive(io.BytesIO(data)))
+    assert warc.read_archives(by_bytes).count() == 40
