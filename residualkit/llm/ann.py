@@ -81,6 +81,7 @@ def _index(
     batches: Iterator[pa.RecordBatch], centroids: dict[int, np.ndarray], seed: int, block: int
 ) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
+    rotations = {d: random_rotation(d, seed) for d in centroids}
     for batch in batches:
         column = batch.column(1)
         sizes = column.value_lengths().to_numpy(zero_copy_only=False)
@@ -89,7 +90,7 @@ def _index(
             for begin in range(0, len(every), block):
                 at = pa.array(every[begin : begin + block])
                 x = matrix(column.take(at))
-                bits, distance, factor = encode(unit(x), centroids[size], random_rotation(size, seed))
+                bits, distance, factor = encode(unit(x), centroids[size], rotations[size])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number]),
