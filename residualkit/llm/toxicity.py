@@ -6,12 +6,13 @@ one word left out between them. The weights are learned by FTRL-proximal, with a
 learning rate for every coordinate and an L1 penalty that leaves most of them
 exactly zero, so what is sent to the scoring tasks is a few kilobytes, and never
 more than the number of buckets. Learning takes a bounded sample of labelled
-rows, in one task; scoring is one pass over all texts.
+rows, in one task, which they pass once for each round of learning, a few at a time; scoring
+is one pass over all texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -27,6 +28,7 @@ from residualkit.llm.words import mix, prefixed_runs, text_buffer, token_classes
 BITS = 20
 STEMS = (4, 6)
 SAMPLE = 12_000
+HELD_ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -76,20 +78,22 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def feature_sets(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``(id, y, features)`` from rows ``(id, text, y)``."""
+    """Rows ``(turn, y, features)`` from rows ``(id, text, y)``; ``turn`` orders the examples by a hash of the id."""
     for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        turn = (mix(ids.view(np.uint64)) ^ np.uint64(1 << 63)).view(np.int64)
         owner, bucket = features(batch.column(1), bits)
         distinct = np.unique((owner << bits) | bucket)
         cuts = np.searchsorted(distinct >> bits, np.arange(batch.num_rows + 1))
         buckets = (distinct & ((1 << bits) - 1)).astype("<i4")
         sets = [buckets[cuts[i] : cuts[i + 1]].tobytes() for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(sets, pa.binary())], names=["id", "y", "features"]
+            [pa.array(turn), batch.column(2), pa.array(sets, pa.binary())], names=["turn", "y", "features"]
         )
 
 
-def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int, settings: Ftrl) -> tuple[np.ndarray, float]:
-    """Weights of all buckets and the bias, from examples in the given order."""
+def learn(examples: Iterable[tuple[np.ndarray, int]], bits: int, settings: Ftrl) -> tuple[np.ndarray, float]:
+    """Weights of all buckets and the bias after the examples as they come, each seen as often as it comes."""
     size = (1 << bits) + 1  # the last coordinate is the bias, without penalty
     z, n = np.zeros(size), np.zeros(size)
 
@@ -99,23 +103,29 @@ def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int, settings: Ftrl)
         shrunk = np.sign(zi) * l1 - zi
         return np.where(np.abs(zi) <= l1, 0.0, shrunk / ((settings.beta + np.sqrt(n[at])) / settings.alpha + settings.l2))
 
-    for _ in range(settings.passes):
-        for own, y in examples:
-            at = np.append(own, size - 1)
-            w = weights(at)
-            gradient = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
-            z[at] += gradient - (np.sqrt(n[at] + gradient**2) - np.sqrt(n[at])) / settings.alpha * w
-            n[at] += gradient**2
+    for own, y in examples:
+        at = np.append(own, size - 1)
+        w = weights(at)
+        gradient = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
+        z[at] += gradient - (np.sqrt(n[at] + gradient**2) - np.sqrt(n[at])) / settings.alpha * w
+        n[at] += gradient**2
     full = weights(np.arange(size))
     return full[:-1], float(full[-1])
 
 
+def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int, settings: Ftrl) -> tuple[np.ndarray, float]:
+    """Weights of all buckets and the bias, from all passes over examples in the given order."""
+    return learn((e for _ in range(settings.passes) for e in examples), bits, settings)
+
+
 def _fit(batches: Iterator[pa.RecordBatch], bits: int, settings: Ftrl) -> Iterator[pa.RecordBatch]:
-    rows = []
-    for batch in batches:
-        rows += zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True)
-    rows.sort(key=lambda r: (int(mix(np.array([r[0]], np.int64).view(np.uint64))[0]), r[2]))
-    full, bias = fit_ftrl([(np.frombuffer(f, "<i4"), y) for _, y, f in rows], bits, settings)
+    """Learn from rows ``(y, features)`` in the order they come; no more than a batch is held."""
+    seen = (
+        (np.frombuffer(own.as_py(), "<i4"), y.as_py())
+        for batch in batches
+        for y, own in zip(batch.column(0), batch.column(1), strict=True)
+    )
+    full, bias = learn(seen, bits, settings)
     at = np.flatnonzero(full)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(full[at], bias))], names=["bucket", "w"])
 
@@ -130,15 +140,19 @@ def fit_toxicity(
 ) -> Weights:
     """Learn from at most ``at_most`` labelled documents that are not held out.
 
-    One task learns, in an order fixed by the ids. Without any labelled row all
-    weights are zero and every score is one half.
+    One task learns, in an order fixed by the ids: the rows of all passes go by in it, sorted by Spark, ``HELD_ROWS`` at a time, so its
+    memory depends neither on the number of rows nor on that of the passes. Without any labelled row all weights are zero and every
+    score is one half.
     """
     texts = first_columns(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("id"), "text")
     sample = training_rows(texts, labels, label, at_most).select("id", "text", "y")
-    sets = stage_python(sample.mapInArrow(partial(feature_sets, bits=bits), "id long, y int, features binary"), "features")
+    schema = "turn long, y int, features binary"
+    sets = stage_python(sample.mapInArrow(partial(feature_sets, bits=bits), schema), "features")
+    passes = sets.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(settings.passes))))
+    ordered = passes.repartition(1).sortWithinPartitions("pass", "turn", "y", "features").select("y", "features")
     learner = partial(_fit, bits=bits, settings=settings)
-    with arrow_rows(docs.sparkSession, 1024):
-        found = sets.repartition(1).mapInArrow(learner, "bucket long, w double").collect()
+    with arrow_rows(docs.sparkSession, HELD_ROWS):
+        found = ordered.mapInArrow(learner, "bucket long, w double").collect()
     bias = next((r["w"] for r in found if r["bucket"] == -1), 0.0)
     kept = sorted((r["bucket"], r["w"]) for r in found if r["bucket"] >= 0)
     return Weights(np.array([b for b, _ in kept], np.int64), np.array([w for _, w in kept]), bias, bits)
