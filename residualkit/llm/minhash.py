@@ -263,12 +263,13 @@ def _links_across(
     opened: DataFrame, leads: DataFrame, texts: DataFrame, k: int, percent: int, least: float
 ) -> DataFrame:
     """Links between texts of a group that lie in different components."""
-    wanted = texts.join(opened.select("id").distinct(), "id").select("id", "text")
+    ids = stage(opened.select("id").distinct(), "opened_ids")
+    wanted = texts.join(ids, "id").select("id", "text")
     sets = stage_python(wanted.mapInArrow(partial(_sets, k=k), "id long, shingles binary"), "sets", 128)
     sizes = stage(opened.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "sizes")
     dealt = opened.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     packed = (
-        dealt.join(leads, "id")
+        dealt.join(leads.join(ids, "id", "left_semi"), "id")
         .join(sets, "id")
         .groupBy("group", "chunk")
         .agg(F.collect_list(F.struct("id", "comp", "signature", "shingles")).alias("m"))
@@ -287,15 +288,24 @@ def _links_across(
     return stage_python(facing.mapInArrow(compare, "a long, b long"), "across", 4)
 
 
+def _of_pairs(rows: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the first and of the second ids of staged pairs. First ids are few, so the other rows are not shuffled to meet them."""
+    heads = stage(pairs.select(F.col("a").alias("id")).distinct(), "heads")
+    return rows.join(heads, "id", "left_semi"), rows
+
+
 def _signature_check(pairs: DataFrame, leads: DataFrame, least: float) -> DataFrame:
-    left, right = (leads.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for c in "ab")
+    pairs = stage(pairs, "candidate_pairs")
+    of_a, of_b = _of_pairs(leads, pairs)
+    left, right = (own.select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for c, own in (("a", of_a), ("b", of_b)))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
     return stage_python(joined.mapInArrow(partial(_agree, least=least), "a long, b long"), "alike", 2048)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs confirmed on the full shingle sets of one text of each id (repeated ids: every combination)."""
-    left, right = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+    of_a, of_b = _of_pairs(texts, pairs)
+    left, right = (own.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c, own in (("a", of_a), ("b", of_b)))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
     confirm = partial(_verify, k=k, percent=percent)
     return stage_python(joined.mapInArrow(confirm, "a long, b long"), "confirmed", 128)
