@@ -2,7 +2,6 @@
 
 import math
 import random
-import weakref
 from collections import defaultdict
 
 import numpy as np
@@ -45,28 +44,6 @@ def test_ftrl_equals_scalar_loops():
     assert full.tolist() == pytest.approx([want.get(i, 0.0) for i in range(256)], abs=1e-9)
 
 
-def test_examples_are_taken_as_they_come():
-    """The task's generator is handed on unread: no more than one batch is alive while the next is learned."""
-    random.seed(7)
-    examples = [(np.array(sorted(random.sample(range(256), 9)), "<i4"), random.randrange(2)) for _ in range(90)]
-    settings, alive = toxicity.Ftrl(), []
-
-    def batches():
-        for _ in range(settings.passes):
-            for at in range(0, len(examples), 7):
-                part = examples[at : at + 7]
-                batch = pa.record_batch([pa.array([y for _, y in part]), pa.array([e.tobytes() for e, _ in part])], ["y", "features"])
-                alive.append(weakref.ref(batch))
-                yield batch
-                del batch
-                assert sum(r() is not None for r in alive) <= 2
-
-    (got,) = toxicity._fit(batches(), 8, settings)
-    full, bias = toxicity.fit_ftrl(examples, 8, settings)
-    want = {i: w for i, w in enumerate(full.tolist()) if w} | {-1: bias}
-    assert dict(zip(got.column("bucket").to_pylist(), got.column("w").to_pylist(), strict=True)) == want
-
-
 def test_toxicity_equals_scalar_scores(spark):
     """The whole operator on a table: sample, order, features as sets, weights and scores."""
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
