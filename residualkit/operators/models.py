@@ -164,18 +164,30 @@ def fit_with_patience(
     """Boost until ``patience`` trees in a row bring no improvement on ``holdout``.
 
     The estimator's number of trees is only the limit. A fit of few trees is
-    tried first and doubled while its best tree is still close to its end. Trees
-    depend on the earlier ones and the seed alone, so a longer fit begins with the
-    shorter one and the result is the same as from a fit of all trees.
+    tried first, see :func:`fit_lengths`, and a longer one while its best tree is
+    still close to its end. Trees depend on the earlier ones and the seed alone, so
+    a longer fit begins with the shorter one and the result is the same as from a
+    fit of all trees.
     """
     limit = estimator.getMaxIter()
-    trees = min(limit, max(first, 2 * patience))
-    while True:
+    for trees in fit_lengths(limit, max(first, 2 * patience)):
         model = estimator.copy({estimator.maxIter: trees}).fit(rows)
         kept = stop_early(model, holdout, patience, metric)
         if trees == limit or trees - kept.getNumTrees >= patience:
             return kept
-        trees = min(limit, 2 * trees)
+
+
+def fit_lengths(limit: int, first: int) -> list[int]:
+    """Numbers of trees to try, each about half of the next, the last one ``limit``.
+
+    The smallest is at least ``first``, or ``limit`` where that is less. A fit starts anew,
+    so the lengths are halved from the limit: all of them together are about twice the limit at most,
+    and a limit below twice ``first`` is reached by a single fit.
+    """
+    lengths = [limit]
+    while lengths[0] >= 2 * max(1, first):
+        lengths.insert(0, -(-lengths[0] // 2))
+    return lengths
 
 
 def stop_early(model: GBTRegressionModel, holdout: DataFrame, patience: int, metric: str = "mae") -> GBTRegressionModel:

@@ -64,6 +64,29 @@ def test_doubling_finds_the_same_trees_as_one_long_fit(spark, signal):
     assert gap < 1e-12
 
 
+def test_fit_lengths_halve_from_the_limit():
+    assert models.fit_lengths(48, 32) == [48]
+    assert models.fit_lengths(64, 32) == [32, 64]
+    assert models.fit_lengths(20, 2) == [3, 5, 10, 20]
+    assert models.fit_lengths(2000, 400) == [500, 1000, 2000]
+    assert models.fit_lengths(1, 1) == [1] and models.fit_lengths(3, 32) == [3] and models.fit_lengths(0, 32) == [0]
+
+
+def test_a_limit_close_to_the_first_length_is_fitted_once(spark, signal):
+    fitted = []
+
+    class Counted(GBTRegressor):
+        def fit(self, dataset, params=None):
+            fitted.append(self.getMaxIter())
+            return super().fit(dataset, params)
+
+    data = models.fit_vector_prep(signal, ["x", "z"]).apply(signal)
+    estimator = Counted(labelCol="logerror", maxIter=6, maxDepth=2, stepSize=0.1, seed=4)
+    kept = models.fit_with_patience(estimator, data, data, 1, first=4)
+    assert kept.getNumTrees == 6
+    assert fitted == [6]
+
+
 def test_cross_validation_covers_every_row_once_and_beats_the_median(spark, signal):
     config = TrainConfig(
         n_splits=3,
