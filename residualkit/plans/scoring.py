@@ -67,12 +67,14 @@ def submission(
 ) -> DataFrame:
     """One row per key and one rounded column per ``yyyymm``, joined by key.
 
-    The periods are given, so no pass is needed to discover them. A prediction
-    for a period that is not listed is an error at run time.
+    The periods are given, so no pass is needed to discover them, and a key's rows
+    become one row in a single shuffle. A prediction for a period that is not listed
+    is an error at run time.
     """
     frames = [predictions] if isinstance(predictions, DataFrame) else list(predictions)
     period = F.col("yyyymm")
     unlisted = F.concat(F.lit("a prediction for an unlisted period: "), F.coalesce(period, F.lit("missing")))
     listed = F.when(period.isin(list(periods)), period).otherwise(F.raise_error(unlisted).cast("string"))
-    wide = union_by_name(frames).withColumn("yyyymm", listed).groupBy(key).pivot("yyyymm", list(periods)).agg(F.first(prediction, True))
+    rows = union_by_name(frames).withColumn("yyyymm", listed)
+    wide = rows.groupBy(key).agg(*[F.first(F.when(period == p, F.col(prediction)), True).alias(p) for p in periods])
     return wide.select(key, *[round_half_even(F.col(f"`{p}`"), digits).alias(p) for p in periods])

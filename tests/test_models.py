@@ -178,3 +178,14 @@ def test_submission_joins_by_key(spark):
     assert rows(got, "k")[1][1:] == (0.5, 0.0)
     with pytest.raises(Exception, match="unlisted period: 201710"):
         scoring.submission([a, b], "k", ["201610"]).collect()
+
+
+def test_submission_takes_one_shuffle_and_keeps_missing_predictions(spark):
+    schema = "k long, yyyymm string, prediction double"
+    a = spark.createDataFrame([(1, "201610", 0.00125), (2, "201610", None), (None, "201610", 0.5)], schema)
+    b = spark.createDataFrame([(1, "201710", -0.5), (2, "201710", float("nan")), (1, "201710", None)], schema)
+    got = scoring.submission([a, b], "k", ["201610", "201612", "201710"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = {r["k"]: tuple(r)[1:] for r in got.collect()}
+    assert found[1] == (0.0012, None, -0.5) and found[None] == (0.5, None, None)
+    assert found[2][:2] == (None, None) and found[2][2] != found[2][2]
