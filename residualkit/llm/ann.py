@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from residualkit.llm.embedding_dedup import exact_cosine
 from residualkit.llm.frames import stage_python
-from residualkit.llm.vectors import matrix, one_per_id, summed, unit, usable
+from residualkit.llm.vectors import facing, matrix, one_per_id, summed, unit, usable
 from residualkit.staging import stage
 
 BLOCK = 2048
@@ -194,7 +194,7 @@ def nearest(
     )
     asked = good.filter(pick).select(F.col("vec_id").alias("query_id"), "embedding")
     find = partial(_search, centroids=centroids, seed=seed, k=k, epsilon=epsilon)
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), codes.count()))
     dealt = codes.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
@@ -202,9 +202,8 @@ def nearest(
         """The ``k`` best found of queries ``query_id, embedding, floor``."""
         blocks = stage_python(queries.mapInArrow(_query_blocks, QUERIES), f"{label}_queries", QUERY_BLOCK)
         # A query block is sent once to every slot, where it meets the code blocks of that slot.
-        sent = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-        facing = dealt.join(sent, ["slot", "dims"])
-        found = stage_python(facing.mapInArrow(find, "query_id long, vec_id long, score double"), label, 2)
+        met = facing(dealt, blocks, F.element_at("qids", 1), F.sequence(F.lit(0), F.lit(slots - 1)))
+        found = stage_python(met.mapInArrow(find, "query_id long, vec_id long, score double"), label, 2)
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     seeds = best(asked.withColumn("floor", F.lit(float("inf"))), "ann_seeds")

@@ -1,4 +1,4 @@
-"""What the two vector operators share: usable vectors, unit rows, blocks of rows."""
+"""What the vector operators share: usable vectors, unit rows, blocks of rows and how they meet."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from residualkit.llm.frames import first_columns
 
+TOGETHER = 64
+
 
 def usable(embedding: Column) -> Column:
     """Neither NULL, empty nor zero, and without NULL or non-finite components."""
@@ -75,3 +77,16 @@ def summed(vectors: DataFrame, second: bool) -> dict[int, np.ndarray]:
     for r in rows:
         found.setdefault(r["dims"], {})[r["cell"]] = r["v"]
     return {d: np.array([own[i] for i in range(len(own))]) for d, own in found.items()}
+
+
+def facing(stored: DataFrame, blocks: DataFrame, number: Column, slots: Column) -> DataFrame:
+    """Every query block beside the stored blocks of its dimension count in each of its ``slots``.
+
+    ``stored`` has a ``slot``; ``number`` tells query blocks apart. It is always a shuffle join: a table of copies counts for the
+    optimizer no more than one copy of each, so it would be gathered on the driver and broadcast however
+    large it is. Query blocks meet in groups of about ``TOGETHER``, which bounds what a task holds of them.
+    """
+    groups = max(1, -(-blocks.count() // TOGETHER))
+    sent = blocks.withColumn("group", F.pmod(F.xxhash64(number), F.lit(groups)).cast("int")).withColumn("slot", F.explode(slots))
+    every = stored.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return every.join(sent.hint("merge"), ["slot", "group", "dims"]).drop("group")

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from conftest import settings
 
-from residualkit.llm import maxscore, presence
+from residualkit.llm import ann, maxscore, presence
+from residualkit.llm import vectors as shared
 
 VECTORS = "vec_id long, embedding array<float>, score long, slot int, dims int"
 
@@ -62,6 +63,39 @@ def test_products_of_clusters_ties_and_few_rows(spark, monkeypatch):
     assert top(spark, []) == []
 
 
+def planned(monkeypatch, module):
+    """The plans of the tables ``module`` stages from now on, by label."""
+    plans, write = {}, module.stage_python
+
+    def staged(df, label, rows=256):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label, rows)
+
+    monkeypatch.setattr(module, "stage_python", staged)
+    return plans
+
+
+def check_meeting(plan):
+    """Copies of queries are shuffled, never broadcast."""
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_queries_of_nearest_go_through_no_driver(spark, monkeypatch):
+    plans = planned(monkeypatch, ann)
+    for name, value in (("BLOCK", 16), ("QUERY_BLOCK", 2)):
+        monkeypatch.setattr(ann, name, value)
+    monkeypatch.setattr(shared, "TOGETHER", 1)
+    x = np.random.default_rng(8).standard_normal((400, 8)).astype(np.float32)
+    found = ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), k=3).collect()
+    check_meeting(plans["ann_seeds"])
+    check_meeting(plans["ann_found"])
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    for q in range(0, 400, 50):
+        score = unit @ unit[q]
+        score[q] = -2
+        assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == np.argsort(-score)[:3].tolist()
+
+
 def test_products_beyond_doubles(spark):
     big = [(0, [1e15, -3e13, 1.0]), (1, [1e15, 1.0, 2.0]), (2, [3e38, -3e38, 0.0]), (50, [3e38, 3e38, 3e38]), (4, [-3e38, 1.0, 1.0])]
     assert top(spark, big) == products(big, 5)
