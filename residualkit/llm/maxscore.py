@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residualkit.llm.frames import stage_python
-from residualkit.llm.vectors import matrix, one_per_id
+from residualkit.llm.vectors import facing, matrix, one_per_id
 from residualkit.staging import stage
 
 SHARD = 4096
@@ -224,9 +224,8 @@ def top_products(
     def best(queries: DataFrame, where: Column, label: str) -> DataFrame:
         """The ``k`` best found of queries ``vec_id, embedding, floor`` in the slots ``where`` each block is sent to."""
         blocks = stage_python(queries.mapInArrow(partial(_query_blocks, scale=scale), QUERIES), f"{label}_queries", QUERY_BLOCK)
-        sent = blocks.withColumn("slot", F.explode(where))
-        facing = dealt.join(sent, ["slot", "dims"])
-        found = stage_python(facing.mapInArrow(partial(_search, k=k), "query_id long, vec_id long, score long"), label, 2)
+        met = facing(dealt, blocks, F.col("query_block"), where)
+        found = stage_python(met.mapInArrow(partial(_search, k=k), "query_id long, vec_id long, score long"), label, 2)
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     asked = good.filter(pick).withColumn("floor", F.lit(None).cast("long"))

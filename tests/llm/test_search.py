@@ -96,6 +96,17 @@ def test_queries_of_nearest_go_through_no_driver(spark, monkeypatch):
         assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == np.argsort(-score)[:3].tolist()
 
 
+def test_queries_of_products_go_through_no_driver(spark, monkeypatch):
+    plans = planned(monkeypatch, maxscore)
+    for name, value in (("SHARD", 64), ("QUERY_BLOCK", 2)):
+        monkeypatch.setattr(maxscore, name, value)
+    monkeypatch.setattr(shared, "TOGETHER", 1)
+    rows = vectors()
+    assert top(spark, rows) == products(rows, 5)
+    check_meeting(plans["maxscore_first"])
+    check_meeting(plans["maxscore_found"])
+
+
 def test_products_beyond_doubles(spark):
     big = [(0, [1e15, -3e13, 1.0]), (1, [1e15, 1.0, 2.0]), (2, [3e38, -3e38, 0.0]), (50, [3e38, 3e38, 3e38]), (4, [-3e38, 1.0, 1.0])]
     assert top(spark, big) == products(big, 5)
