@@ -58,3 +58,15 @@ def top_features(importance: DataFrame, limit: int = 50) -> DataFrame:
     """
     best = mean_importance(importance).orderBy(F.desc("importance"), "feature").limit(limit)
     return importance.join(F.broadcast(best.select("feature")), "feature", "left_semi")
+
+
+def best_prefix(losses: Sequence[float], patience: int) -> int:
+    """Number of trees at the lowest loss seen before ``patience`` trees in a row
+    brought no improvement."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residualkit.functions.scalars import balanced_sum
+from residualkit.operators import binned
 from residualkit.operators.folds import checked_fold
-from residualkit.operators.metrics import regression_metrics
+from residualkit.operators.metrics import best_prefix, regression_metrics
 from residualkit.staging import checkpoint_root, stage
 
 FIRST_TREES = 32
@@ -80,7 +81,8 @@ def cross_validate(
     """Fit one model per fold on the other folds and score it on its own.
 
     The vectors are staged once, in one folder per fold, so that a fold's training
-    and validation scans read just their files. ``parallelism`` folds are fitted
+    and validation scans read just their files. Boosted trees of all folds are fitted together where
+    :mod:`residualkit.operators.binned` covers them; of other models ``parallelism`` folds are fitted
     at a time. A missing fold, or one that is not between 0 and ``k`` - 1, is an error.
     """
     checkpoint_root(df.sparkSession)
@@ -94,7 +96,10 @@ def cross_validate(
             return fit_with_patience(prepared, others, own, early_stopping_rounds, eval_metric)
         return prepared.fit(others)
 
-    if parallelism > 1:
+    if binned.covers(prepared, vectors, k):
+        loss = evaluation_loss(eval_metric) if early_stopping_rounds is not None else "absolute"
+        models = binned.fit_folds(vectors, prepared, k, fold, early_stopping_rounds, loss)
+    elif parallelism > 1:
         with ThreadPool(min(parallelism, k)) as pool:
             models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
     else:
@@ -141,18 +146,6 @@ def importance_table(df: DataFrame, models: Sequence[Model], names: Sequence[str
     return df.sparkSession.createDataFrame(rows, "feature string, importance double, fold int")
 
 
-def best_prefix(losses: Sequence[float], patience: int) -> int:
-    """Number of trees at the lowest loss seen before ``patience`` trees in a row
-    brought no improvement."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def fit_with_patience(
     estimator: GBTRegressor,
     rows: DataFrame,
@@ -190,6 +183,12 @@ def fit_lengths(limit: int, first: int) -> list[int]:
     return lengths
 
 
+def evaluation_loss(metric: str) -> str:
+    if metric not in EVALUATION_LOSS:
+        raise ValueError(f"metric {metric} is none of {sorted(EVALUATION_LOSS)}")
+    return EVALUATION_LOSS[metric]
+
+
 def stop_early(model: GBTRegressionModel, holdout: DataFrame, patience: int, metric: str = "mae") -> GBTRegressionModel:
     """Keep the trees up to the best one on ``holdout``.
 
@@ -197,10 +196,7 @@ def stop_early(model: GBTRegressionModel, holdout: DataFrame, patience: int, met
     improvement. Here all trees are fitted, one pass gives the loss after each of
     them, and the tail is dropped.
     """
-    if metric not in EVALUATION_LOSS:
-        raise ValueError(f"metric {metric} is none of {sorted(EVALUATION_LOSS)}")
-    loss = EVALUATION_LOSS[metric]
-    count = best_prefix(model.evaluateEachIteration(holdout, loss), patience)
+    count = best_prefix(model.evaluateEachIteration(holdout, evaluation_loss(metric)), patience)
     if count == model.getNumTrees:
         return model
     return first_trees(model, count, holdout.sparkSession.sparkContext)
